@@ -49,8 +49,8 @@ def null_safe_left_join(
         F.lit(0).alias("__salt0"),
     )
     condition = _all(
-        [salted[f"`{l}`"] == keyed[f"__key{i}"] for i, (l, _) in enumerate(pairs)]
-        + [salted[_SALT] == keyed["__salt0"]]
+        [quoted(l) == F.col(f"__key{i}") for i, (l, _) in enumerate(pairs)]
+        + [F.col(_SALT) == F.col("__salt0")]
     )
     dropped = [f"__key{i}" for i in range(len(pairs))] + [_SALT, "__salt0"]
     return salted.join(keyed, condition, "left").drop(*dropped)
@@ -91,7 +91,7 @@ def enrich(
     if how == "left":
         return null_safe_left_join(left, right, pairs)
     keyed = right.withColumnsRenamed({r: f"__key{i}" for i, (_, r) in enumerate(pairs)})
-    condition = _all([left[f"`{l}`"] == keyed[f"__key{i}"] for i, (l, _) in enumerate(pairs)])
+    condition = _all([quoted(l) == F.col(f"__key{i}") for i, (l, _) in enumerate(pairs)])
     return left.join(keyed, condition, how).drop(*[f"__key{i}" for i in range(len(pairs))])
 
 
@@ -111,13 +111,12 @@ def merge_metric_sets(sets: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Totals per key; without keys the totals are one row, and every row gets it.
-
-    The keyless case is a join with a single-row aggregate.
-    """
+    """Totals per key; without keys ``totals`` is one row, read as a scalar by every row."""
     if keys:
         return null_safe_left_join(df, totals, [(k, k) for k in keys])
-    return df.crossJoin(totals)
+    return df.select(
+        "*", *[totals.select(quoted(c)).scalar().alias(c) for c in totals.columns]
+    )
 
 
 def containment_flag(
