@@ -139,20 +139,14 @@ def containment_flag(
         return df.withColumn(flag, F.lit(False))
     texts = df.select(quoted(column).alias("text")).filter("text is not null").distinct()
     upper = F.upper(F.col("text"))
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.when(
-                    F.length(upper) >= n,
-                    F.transform(
-                        F.sequence(F.lit(1), F.length(upper) - n + 1),
-                        lambda i, n=n: F.substring(upper, i, F.lit(n)),
-                    ),
-                ).otherwise(F.array().cast("array<string>"))
-                for n in lengths
-            ]
-        )
-    )
+
+    def windows(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(upper) - n + 1)
+        return F.when(
+            F.length(upper) >= n, F.transform(starts, lambda i: F.substring(upper, i, F.lit(n)))
+        ).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.flatten(F.array(*[windows(n) for n in lengths]))
     hits = (
         texts.select("text", F.explode(F.array_distinct(pieces)).alias("piece"))
         .join(needles, "piece", "left_semi")

@@ -91,7 +91,7 @@ def ordered_names(
         .agg(F.array_sort(F.collect_list(entry)).alias("__entries"))
         .select(
             *[quoted(k) for k in keys],
-            *[F.transform("__entries", lambda e, n=n: e[n]).alias(n) for n in names],
+            *[F.col(f"__entries.{n}").alias(n) for n in names],
         )
     )
 

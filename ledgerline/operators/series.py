@@ -59,6 +59,13 @@ def daily_pre_aggregate(
     )
 
 
+def _tagged(values: Column, kind: int) -> Column:
+    """Array of members as an array of (kind, member)."""
+    return F.transform(
+        values, lambda m: F.struct(F.lit(kind).alias("kind"), m.cast("string").alias("member"))
+    )
+
+
 def union_of_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[str]) -> DataFrame:
     """Member sets of coarser groups from those of finer ones, sorted.
 
@@ -70,10 +77,7 @@ def union_of_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[str]) -> Da
             F.flatten(
                 F.array(
                     *[
-                        F.transform(
-                            F.coalesce(quoted(s), F.array().cast("array<string>")),
-                            lambda m, i=i: F.struct(F.lit(i).alias("kind"), m.cast("string").alias("member")),
-                        )
+                        _tagged(F.coalesce(quoted(s), F.array().cast("array<string>")), i)
                         for i, s in enumerate(sets)
                     ]
                 )
@@ -96,9 +100,7 @@ def _member_rows(df: DataFrame, keys: list[str], date: str, members: Mapping[str
         c = quoted(column)
         values = c if isinstance(types[column], T.ArrayType) else F.array(c)
         values = F.coalesce(values.cast("array<string>"), F.array().cast("array<string>"))
-        listed.append(
-            F.transform(values, lambda m, i=i: F.struct(F.lit(i).alias("kind"), m.alias("member")))
-        )
+        listed.append(_tagged(values, i))
     return (
         df.select(*[quoted(k) for k in keys], quoted(date), F.inline(F.flatten(F.array(*listed))))
         .filter("member is not null")
