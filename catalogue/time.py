@@ -121,14 +121,14 @@ _PARTITION = ["trade_name", "unit_of_measure"]
 
 def _priced(spark, sf):
     return items(spark, sf, products=True).withColumn(
-        "unit_price", F.round(F.try_divide("sales_value", "billed_quantity"), 6)
+        "unit_price", F.floor(F.try_divide("sales_value", "billed_quantity") * 10000) / 10000
     )
 
 
 def _blocks(spark, sf, kind):
     labelled = label_blocks(_priced(spark, sf), _PARTITION, absolute=1_000_000)
     summary = summarise_blocks(labelled, _PARTITION, kind, exact=True)
-    return summary.withColumn("median_unit_price", F.round("median_unit_price", 7))
+    return summary.withColumn("median_unit_price", F.round("median_unit_price", 5))
 
 
 def txn_blocks_relative(spark, sf):
@@ -148,7 +148,7 @@ def txn_block_labels(spark, sf):
     ).agg(F.count("*").alias("peer_rows"), F.max("row_rank").alias("last_rank"))
 
 
-_LABELLED = f"""priced AS (SELECT *, round(sales_value / nullif(billed_quantity, 0), 6) AS unit_price FROM items),
+_LABELLED = f"""priced AS (SELECT *, floor(sales_value / nullif(billed_quantity, 0) * 10000) / 10000 AS unit_price FROM items),
 c0 AS (SELECT *,
     row_number() OVER (PARTITION BY trade_name, unit_of_measure ORDER BY billing_date, item_key) AS row_rank,
     round(sum(sales_value) OVER (PARTITION BY trade_name, unit_of_measure ORDER BY billing_date, item_key
@@ -167,8 +167,8 @@ SELECT concat_ws('_||_', trade_name, unit_of_measure, {kind}_size_transaction_bl
   count(DISTINCT item_key) AS uniq_txn_count, count(DISTINCT sold_to_key) AS uniq_customer_count,
   count(DISTINCT product_key) AS uniq_product_count, round(sum(sales_value), 4) AS total_sales_value,
   round(sum(sales_value), 4) / count(sales_value) AS avg_sales_value, min(unit_price) AS min_unit_price,
-  round(median(unit_price), 7) AS median_unit_price,
-  round(sum(unit_price), 6) / count(unit_price) AS avg_unit_price, max(unit_price) AS max_unit_price
+  round(median(unit_price), 5) AS median_unit_price,
+  round(sum(unit_price), 4) / count(unit_price) AS avg_unit_price, max(unit_price) AS max_unit_price
 FROM c2 GROUP BY trade_name, unit_of_measure, {kind}_size_transaction_block_label"""
 
 
