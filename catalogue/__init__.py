@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("metrics", "time")
+MODULES = ("facts", "metrics", "time", "dimensions")
 
 
 def registered() -> dict[str, tuple]:

@@ -220,10 +220,10 @@ def partner_columns(
     )
 
 
-def prefer_left(
+def prefer_right(
     left: DataFrame, right: DataFrame, key: str, attribute: str, output: str
 ) -> DataFrame:
-    """Left join, taking the right side's attribute first and the left one's where it has none."""
+    """Left join; the right side's attribute counts first, the left one's where it has none."""
     other = right.withColumnRenamed(attribute, "__other")
     joined = null_safe_left_join(left, other, [(key, key)])
     return joined.withColumn(output, F.coalesce("__other", quoted(attribute))).drop("__other")

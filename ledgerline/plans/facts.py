@@ -12,7 +12,7 @@ from ledgerline.functions.keys import role_pair_keys, template
 from ledgerline.functions.text import numeric_code
 from ledgerline.operators.columns import contract, quoted
 from ledgerline.operators.filters import business_rules, is_member, recent, sign_of
-from ledgerline.operators.joins import Dimension, null_safe_left_join, prefer_left, star_join
+from ledgerline.operators.joins import Dimension, null_safe_left_join, prefer_right, star_join
 
 FACT_MONTHS = 25
 ROLES = {"soldto": "sold_to_key", "billto": "bill_to_key", "shipto": "ship_to_key"}
@@ -81,7 +81,7 @@ def contract_filter_view(items: DataFrame, products: DataFrame, columns: Mapping
         F.col("trade_name").alias("__billed_name"),
     )
     details = products.withColumnsRenamed({"primary_key": "product_fk", "trade_name": "__billed_name"})
-    return prefer_left(view, details, "product_fk", "__billed_name", "trade_name").drop("__billed_name")
+    return prefer_right(view, details, "product_fk", "__billed_name", "trade_name").drop("__billed_name")
 
 
 @dataclass(frozen=True)
