@@ -108,7 +108,7 @@ def series_metrics(
         level.cumulative,
     )
     daily = rolling_trend(daily, list(level.keys), "billing_date", "sales_value")
-    day = F.col("billing_date").cast("timestamp")
+    day = F.col("billing_date").cast("timestamp_ntz")
     return (
         daily.withColumns(
             {
