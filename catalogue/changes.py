@@ -239,7 +239,7 @@ def distinct_flags(spark, sf):
 
 _TUMBLING = """SELECT time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP)) AS window_start,
   time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP)) + INTERVAL 6 HOUR AS window_end, event_type,
-  count(*) AS event_count, round(sum(value), 4) AS total_value FROM events GROUP BY ALL"""
+  count(*) AS event_count, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total_value FROM events GROUP BY ALL"""
 
 _LATEST = f"""WITH {_CHANGES} SELECT * FROM changes
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""

@@ -347,8 +347,8 @@ def _series(level_name: str, filter_id: str):
     )
     dropped = ", ".join(["billing_date", *[f"new_{m}" for m in level.cumulative]])
     sql = f"""WITH {ITEMS}, src AS (SELECT * FROM items WHERE billing_date >= DATE '{months_before(AS_OF, 6)}' AND {condition}),
-d AS (SELECT {keys}, billing_date, count(*) AS item_count, round(sum(billed_quantity), 4) AS billed_quantity,
-  round(sum(sales_value), 4) AS sales_value, {counts} FROM src GROUP BY {keys}, billing_date){firsts},
+d AS (SELECT {keys}, billing_date, count(*) AS item_count, CAST(sum(CAST(billed_quantity AS DECIMAL(18, 4))) AS DOUBLE) AS billed_quantity,
+  CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value, {counts} FROM src GROUP BY {keys}, billing_date){firsts},
 e AS (SELECT d.*{fresh} FROM d), c AS (SELECT *{running} FROM e), c2 AS (SELECT *{lagged} FROM c),
 {_rolling_sql('c2', keys)},
 o AS (SELECT * EXCLUDE ({dropped}), CAST(billing_date AS TIMESTAMP) AS billing_date,

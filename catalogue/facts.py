@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.tables import AS_OF, HORIZONS, ITEMS, items, rfm_sql, spec, table
+from ledgerline.functions.exact import exact_sum
 from ledgerline.functions.dates import months_before
 from ledgerline.functions.keys import foreign_key, pair_key, primary_key
 from ledgerline.operators.filters import filled, genuine_relations, is_member, is_subset, members
@@ -273,7 +274,7 @@ def skew_safe_left_join(spark, sf):
     left = items(spark, sf).select("item_key", "ship_to_key", "sales_value", "billing_date")
     joined = null_safe_left_join(left, customers_of(spark, sf), [("ship_to_key", "primary_key")])
     return joined.groupBy("ship_to_key", "name", "segment").agg(
-        F.count("*").alias("item_count"), F.round(F.sum("sales_value"), 4).alias("sales_value")
+        F.count("*").alias("item_count"), exact_sum("sales_value").alias("sales_value")
     )
 
 
@@ -282,7 +283,7 @@ def inner_enrichment(spark, sf):
     chosen = members(customers_of(spark, sf), "segment", ["BUILDING", "MACHINERY"])
     kept = enrich(items(spark, sf), chosen, [("bill_to_key", "primary_key")])
     return kept.groupBy("bill_to_key", "name", "segment").agg(
-        F.count("*").alias("item_count"), F.round(F.sum("net_value"), 4).alias("net_value")
+        F.count("*").alias("item_count"), exact_sum("net_value").alias("net_value")
     )
 
 
@@ -426,8 +427,8 @@ def attribute_rollup_by_type(spark, sf):
 def share_of_partition(spark, sf):
     """Items' products as shares of their trade name: totals joined on their keys."""
     source = items(spark, sf, products=True)
-    values = source.groupBy("trade_name", "product_key").agg(F.round(F.sum("net_value"), 4).alias("net_value"))
-    totals = values.groupBy("trade_name").agg(F.round(F.sum("net_value"), 4).alias("trade_value"))
+    values = source.groupBy("trade_name", "product_key").agg(exact_sum("net_value").alias("net_value"))
+    totals = values.groupBy("trade_name").agg(exact_sum("net_value").alias("trade_value"))
     return attach_totals(values, totals, ["trade_name"]).withColumn(
         "share", F.try_divide("net_value", "trade_value")
     )
@@ -472,13 +473,13 @@ QUERIES = {
     "skew_safe_left_join": (
         skew_safe_left_join,
         f"""WITH {ITEMS} SELECT ship_to_key, c_name AS name, c_mktsegment AS segment, count(*) AS item_count,
-          round(sum(sales_value), 4) AS sales_value
+          CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value
         FROM items LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = ship_to_key GROUP BY ALL""",
     ),
     "inner_enrichment": (
         inner_enrichment,
         f"""WITH {ITEMS} SELECT bill_to_key, c_name AS name, c_mktsegment AS segment, count(*) AS item_count,
-          round(sum(net_value), 4) AS net_value FROM items JOIN customer ON CAST(c_custkey AS VARCHAR) = bill_to_key
+          CAST(sum(CAST(net_value AS DECIMAL(18, 4))) AS DOUBLE) AS net_value FROM items JOIN customer ON CAST(c_custkey AS VARCHAR) = bill_to_key
         WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY ALL""",
     ),
     "semi_join_members": (
@@ -531,8 +532,8 @@ QUERIES = {
     ),
     "share_of_partition": (
         share_of_partition,
-        f"""WITH {ITEMS}, v AS (SELECT trade_name, product_key, round(sum(net_value), 4) AS net_value FROM items GROUP BY ALL),
-        t AS (SELECT trade_name, round(sum(net_value), 4) AS trade_value FROM v GROUP BY 1)
+        f"""WITH {ITEMS}, v AS (SELECT trade_name, product_key, CAST(sum(CAST(net_value AS DECIMAL(18, 4))) AS DOUBLE) AS net_value FROM items GROUP BY ALL),
+        t AS (SELECT trade_name, CAST(sum(CAST(net_value AS DECIMAL(18, 4))) AS DOUBLE) AS trade_value FROM v GROUP BY 1)
         SELECT *, net_value / nullif(trade_value, 0) AS share FROM v JOIN t USING (trade_name)""",
     ),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.tables import AS_OF, HORIZONS, ITEMS, items, rfm_sql, spec
+from ledgerline.functions.exact import exact_sum
 from ledgerline.operators.joins import attach_totals
 from ledgerline.operators.pareto import abc_classification
 from ledgerline.operators.rfm import (
@@ -14,7 +15,6 @@ from ledgerline.operators.rfm import (
     rfm_metrics,
     rfm_with_ranks,
 )
-from ledgerline.operators.rollups import conditional_sum
 
 _ONE = [HORIZONS[0]]
 _RANK = [HORIZONS[0], HORIZONS[4]]
@@ -60,8 +60,8 @@ def _rank_sql() -> str:
         for m in ("order_count", "total_order_value"):
             c = f"product_{m}_since_{h.alias}"
             v = f"CAST({c} AS DOUBLE)"
-            run = f"round(sum({v}) OVER (ORDER BY {c} DESC NULLS LAST), 4)"
-            total = f"round(sum({v}) OVER (), 4)"
+            run = f"CAST(sum(CAST({v} AS DECIMAL(18, 4))) OVER (ORDER BY {c} DESC NULLS LAST) AS DOUBLE)"
+            total = f"CAST(sum(CAST({v} AS DECIMAL(18, 4))) OVER () AS DOUBLE)"
             present = f"product_order_count_since_{h.alias} IS NOT NULL"
             out += [
                 f"{v} AS {c}",
@@ -122,13 +122,13 @@ def abc_average(spark, sf):
 
 def _abc_sql(group: str, partition: str, metric: str, avg: bool = False) -> str:
     """ABC in SQL; ``partition`` is a column name."""
-    figure = "round(sum(s), 4) / nullif(sum(n), 0)" if avg else "round(sum(s), 4)"
+    figure = "CAST(sum(CAST(s AS DECIMAL(18, 4))) AS DOUBLE) / nullif(sum(n), 0)" if avg else "CAST(sum(CAST(s AS DECIMAL(18, 4))) AS DOUBLE)"
     if avg:
         def running(v, over):
-            return f"round(sum({v}) OVER ({over}), 4) / nullif(count({v}) OVER ({over}), 0)"
+            return f"CAST(sum(CAST({v} AS DECIMAL(18, 4))) OVER ({over}) AS DOUBLE) / nullif(count({v}) OVER ({over}), 0)"
     else:
         def running(v, over):
-            return f"round(sum({v}) OVER ({over}), 4)"
+            return f"CAST(sum(CAST({v} AS DECIMAL(18, 4))) OVER ({over}) AS DOUBLE)"
 
     def label(level):
         return f"""CASE WHEN ({level}_cumulative_share <= 0.8 AND {level}_value > 0) OR {level}_share >= 0.8 THEN 'A'
@@ -174,10 +174,10 @@ SELECT generic_name, manufacturer_key, group_value, group_rank, group_cumulative
 def global_totals(spark, sf):
     """Share of each manufacturer in the one-row totals, and its specialty part."""
     source = items(spark, sf)
-    totals = source.agg(F.round(F.sum("sales_value"), 4).alias("total_sales_value"))
+    totals = source.agg(exact_sum("sales_value").alias("total_sales_value"))
     by_maker = source.groupBy("manufacturer_key").agg(
-        F.round(F.sum("sales_value"), 4).alias("sales_value"),
-        F.round(conditional_sum(F.col("specialty_flag"), F.col("sales_value")), 4).alias(
+        exact_sum("sales_value").alias("sales_value"),
+        exact_sum(F.when(F.col("specialty_flag"), F.col("sales_value")).otherwise(0)).alias(
             "specialty_value"
         ),
     )
@@ -189,7 +189,7 @@ def global_totals(spark, sf):
 def rfm_eligibility(spark, sf):
     kept = eligible_items(items(spark, sf), spec())
     return kept.groupBy("currency", F.year("billing_date").cast("long").alias("billing_year")).agg(
-        F.count("*").alias("item_count"), F.round(F.sum("net_value"), 4).alias("net_value")
+        F.count("*").alias("item_count"), exact_sum("net_value").alias("net_value")
     )
 
 
@@ -217,16 +217,16 @@ QUERIES = {
     "abc_average": (abc_average, _ABC_AVG),
     "global_totals": (
         global_totals,
-        f"""WITH {ITEMS} SELECT manufacturer_key, round(sum(sales_value), 4) AS sales_value,
-          round(sum(CASE WHEN specialty_flag THEN sales_value ELSE 0 END), 4) AS specialty_value,
-          (SELECT round(sum(sales_value), 4) FROM items) AS total_sales_value,
-          round(sum(sales_value), 4) / (SELECT round(sum(sales_value), 4) FROM items) AS share
+        f"""WITH {ITEMS} SELECT manufacturer_key, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value,
+          CAST(sum(CAST(CASE WHEN specialty_flag THEN sales_value ELSE 0 END AS DECIMAL(18, 4))) AS DOUBLE) AS specialty_value,
+          (SELECT CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) FROM items) AS total_sales_value,
+          CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) / (SELECT CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) FROM items) AS share
         FROM items GROUP BY 1""",
     ),
     "rfm_eligibility": (
         rfm_eligibility,
         f"""WITH {ITEMS} SELECT currency, year(billing_date) AS billing_year, count(*) AS item_count,
-          round(sum(net_value), 4) AS net_value FROM items
+          CAST(sum(CAST(net_value AS DECIMAL(18, 4))) AS DOUBLE) AS net_value FROM items
         WHERE currency = 'USD' AND billed_quantity > 0 AND net_value > 0
           AND billing_date >= DATE '{min(h.start for h in HORIZONS)}' GROUP BY ALL""",
     ),

@@ -114,9 +114,9 @@ def rfm_sql(group: str, name: str, horizons=None, source: str = "items", keep: s
             f"min(billing_date) {where} AS f{i}",
             f"max(billing_date) {where} AS l{i}",
             f"nullif(count(*) {where}, 0) AS n{i}",
-            f"round(sum(sales_value) {where}, 4) AS v{i}",
-            f"round(sum(CASE WHEN specialty_flag THEN sales_value ELSE 0 END) {where}, 4) AS s{i}",
-            f"round(sum(billed_quantity) {where}, 4) AS u{i}",
+            f"CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) {where} AS DOUBLE) AS v{i}",
+            f"CAST(sum(CAST(CASE WHEN specialty_flag THEN sales_value ELSE 0 END AS DECIMAL(18, 4))) {where} AS DOUBLE) AS s{i}",
+            f"CAST(sum(CAST(billed_quantity AS DECIMAL(18, 4))) {where} AS DOUBLE) AS u{i}",
             *[
                 f"count(DISTINCT {c}) {where} AS c{i}_{j}"
                 for j, c in enumerate(

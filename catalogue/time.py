@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.tables import AS_OF, ITEMS, items, table
+from ledgerline.functions.exact import exact_sum
 from ledgerline.functions.dates import date_parts, months_before
 from ledgerline.operators.blocks import label_blocks, summarise_blocks
 from ledgerline.operators.filters import recent
@@ -40,8 +41,8 @@ def ts_pre_agg(spark, sf):
 _PRE = f"""pre AS (SELECT {', '.join(_KEYS)},
     CAST(year(billing_date) AS INTEGER) AS billing_year, CAST(month(billing_date) AS INTEGER) AS billing_month,
     CAST(weekofyear(billing_date) AS INTEGER) AS billing_weekofyear, CAST(dayofyear(billing_date) AS INTEGER) AS billing_dayofyear,
-    billing_date, count(item_key) AS item_count, round(sum(billed_quantity), 4) AS billed_quantity,
-    round(sum(sales_value), 4) AS sales_value
+    billing_date, count(item_key) AS item_count, CAST(sum(CAST(billed_quantity AS DECIMAL(18, 4))) AS DOUBLE) AS billed_quantity,
+    CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value
   FROM items WHERE billing_date >= DATE '{_CUTOFF}' GROUP BY ALL)"""
 
 _PRE_SQL = f"""WITH {ITEMS}, {_PRE}
@@ -63,7 +64,7 @@ def ts_set_union(spark, sf):
 
 def ts_rolling_30_90(spark, sf):
     daily = items(spark, sf).groupBy("product_key", "billing_date").agg(
-        F.round(F.sum("sales_value"), 4).alias("sales_value")
+        exact_sum("sales_value").alias("sales_value")
     )
     return rolling_trend(daily, ["product_key"], "billing_date", "sales_value")
 
@@ -74,9 +75,9 @@ def _rolling_sql(daily: str, key: str) -> str:
     past = "total_sales_value_of_past_30_days"
 
     def mean(c, w):
-        return f"round(sum({c}) OVER {w}, 4) / count({c}) OVER {w}"
+        return f"CAST(sum(CAST({c} AS DECIMAL(18, 4))) OVER {w} AS DOUBLE) / count({c}) OVER {w}"
 
-    return f"""r1 AS (SELECT *, round(sum(sales_value) OVER {w30}, 4) AS {past},
+    return f"""r1 AS (SELECT *, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) OVER {w30} AS DOUBLE) AS {past},
     {mean('sales_value', w30)} AS rolling_30_day_avg_of_daily_sales_value,
     {mean('sales_value', w90)} AS rolling_90_day_avg_of_daily_sales_value FROM {daily}),
   r2 AS (SELECT *, {mean(past, w30)} AS rolling_30_day_avg_of_{past},
@@ -86,7 +87,7 @@ def _rolling_sql(daily: str, key: str) -> str:
       AS percentage_diff_of_30_vs_90_day_rolling_avg_of_{past} FROM r2)"""
 
 
-_DAILY = "daily AS (SELECT product_key, billing_date, round(sum(sales_value), 4) AS sales_value FROM items GROUP BY ALL)"
+_DAILY = "daily AS (SELECT product_key, billing_date, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value FROM items GROUP BY ALL)"
 
 
 def ts_cumulative_distinct(spark, sf):
@@ -101,8 +102,8 @@ def ts_cumulative_distinct(spark, sf):
 
 
 _CUMULATIVE_SQL = f"""WITH {ITEMS},
-daily AS (SELECT manufacturer_key, billing_date, round(sum(sales_value), 4) AS sales_value,
-    round(sum(billed_quantity), 4) AS billed_quantity, count(DISTINCT product_key) AS product_count,
+daily AS (SELECT manufacturer_key, billing_date, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value,
+    CAST(sum(CAST(billed_quantity AS DECIMAL(18, 4))) AS DOUBLE) AS billed_quantity, count(DISTINCT product_key) AS product_count,
     count(DISTINCT ship_to_key) AS ship_to_count FROM items GROUP BY ALL),
 f1 AS (SELECT manufacturer_key, product_key, min(billing_date) AS billing_date FROM items GROUP BY ALL),
 n1 AS (SELECT manufacturer_key, billing_date, count(*) AS n FROM f1 GROUP BY ALL),
@@ -151,9 +152,9 @@ def txn_block_labels(spark, sf):
 _LABELLED = f"""priced AS (SELECT *, floor(sales_value / nullif(billed_quantity, 0) * 10000) / 10000 AS unit_price FROM items),
 c0 AS (SELECT *,
     row_number() OVER (PARTITION BY trade_name, unit_of_measure ORDER BY billing_date, item_key) AS row_rank,
-    round(sum(sales_value) OVER (PARTITION BY trade_name, unit_of_measure ORDER BY billing_date, item_key
-      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS cumulative_total_sales_value,
-    round(sum(sales_value) OVER (PARTITION BY trade_name, unit_of_measure), 4) AS total_sales_value FROM priced),
+    CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) OVER (PARTITION BY trade_name, unit_of_measure ORDER BY billing_date, item_key
+      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_total_sales_value,
+    CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) OVER (PARTITION BY trade_name, unit_of_measure) AS DOUBLE) AS total_sales_value FROM priced),
 c1 AS (SELECT *, cumulative_total_sales_value / nullif(total_sales_value, 0) AS cumulative_total_sales_value_pcntg FROM c0),
 c2 AS (SELECT *, CAST(greatest(floor(cumulative_total_sales_value_pcntg / CAST(0.01 AS DOUBLE)), 0) AS BIGINT) AS relative_size_transaction_block_label,
     CAST(greatest(floor(cumulative_total_sales_value / 1000000), 0) AS BIGINT) AS absolute_size_transaction_block_label FROM c1)"""
@@ -165,16 +166,16 @@ SELECT concat_ws('_||_', trade_name, unit_of_measure, {kind}_size_transaction_bl
   trade_name, unit_of_measure, min(billing_date) AS earliest_txn_date, max(billing_date) AS latest_txn_date,
   CAST(date_diff('day', min(billing_date), max(billing_date)) AS INTEGER) AS txn_block_duration_in_days,
   count(DISTINCT item_key) AS uniq_txn_count, count(DISTINCT sold_to_key) AS uniq_customer_count,
-  count(DISTINCT product_key) AS uniq_product_count, round(sum(sales_value), 4) AS total_sales_value,
-  round(sum(sales_value), 4) / count(sales_value) AS avg_sales_value, min(unit_price) AS min_unit_price,
+  count(DISTINCT product_key) AS uniq_product_count, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS total_sales_value,
+  CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) / count(sales_value) AS avg_sales_value, min(unit_price) AS min_unit_price,
   round(median(unit_price), 5) AS median_unit_price,
-  round(sum(unit_price), 4) / count(unit_price) AS avg_unit_price, max(unit_price) AS max_unit_price
+  CAST(sum(CAST(unit_price AS DECIMAL(18, 4))) AS DOUBLE) / count(unit_price) AS avg_unit_price, max(unit_price) AS max_unit_price
 FROM c2 GROUP BY trade_name, unit_of_measure, {kind}_size_transaction_block_label"""
 
 
 def trend_islands(spark, sf):
     daily = items(spark, sf).groupBy("manufacturer_key", "billing_date").agg(
-        F.round(F.sum("sales_value"), 4).alias("sales_value")
+        exact_sum("sales_value").alias("sales_value")
     )
     trend = rolling_trend(daily, ["manufacturer_key"], "billing_date", "sales_value")
     change = "percentage_diff_of_30_vs_90_day_rolling_avg_of_total_sales_value_of_past_30_days"
@@ -183,7 +184,7 @@ def trend_islands(spark, sf):
 
 
 _CHANGE = "percentage_diff_of_30_vs_90_day_rolling_avg_of_total_sales_value_of_past_30_days"
-_ISLANDS_SQL = f"""WITH {ITEMS}, daily AS (SELECT manufacturer_key, billing_date, round(sum(sales_value), 4) AS sales_value FROM items GROUP BY ALL),
+_ISLANDS_SQL = f"""WITH {ITEMS}, daily AS (SELECT manufacturer_key, billing_date, CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value FROM items GROUP BY ALL),
 {_rolling_sql('daily', 'manufacturer_key')},
 s AS (SELECT *, CAST(coalesce({_CHANGE} < -0.1, false) AS INTEGER) AS state FROM trend),
 l AS (SELECT *, CAST(state <> lag(state, 1, 0) OVER (PARTITION BY manufacturer_key ORDER BY billing_date) AS INTEGER) AS flip FROM s),

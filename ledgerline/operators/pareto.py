@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerline.functions.exact import from_units, total_units
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import attach_totals
 from ledgerline.operators.running import Order, running_totals
@@ -45,7 +46,7 @@ def abc_classification(
     metric_name: str | None = None,
     a_max: float = A_MAX,
     b_max: float = B_MAX,
-    scale: int | None = 4,
+    scale: int = 4,
 ) -> DataFrame:
     """One row per group and partition with both levels of the classification.
 
@@ -58,16 +59,13 @@ def abc_classification(
     partition, group = list(partition), list(group)
     mean = aggregate == "avg"
 
-    def rounded(c: Column) -> Column:
-        return c if scale is None else F.round(c, scale)
-
     def figure(total: str, count: str) -> Column:
-        whole = rounded(F.col(total))
+        whole = from_units(total, scale)
         return F.try_divide(whole, F.col(count)) if mean else whole
 
     sums = [F.sum("__sum").alias("__sum"), F.sum("__count").alias("__count")]
     groups = df.groupBy(*[quoted(c) for c in partition + group]).agg(
-        F.sum(quoted(metric)).alias("__sum"), F.count(quoted(metric)).alias("__count")
+        total_units(quoted(metric), scale).alias("__sum"), F.count(quoted(metric)).alias("__count")
     )
     blocks = groups.groupBy(*[quoted(c) for c in partition]).agg(*sums)
     dataset = blocks.agg(*sums).select(figure("__sum", "__count").alias("dataset_value"))
@@ -84,8 +82,9 @@ def abc_classification(
             tie_break=[Order(c) for c in ties],
             sums={"__running": value, "__seen": "__one"},
             rank=f"{level}_rank",
+            scale=scale,
         )
-        running = rounded(F.col("__running"))
+        running = F.col("__running")
         return run.withColumn(
             f"{level}_cumulative",
             F.try_divide(running, F.col("__seen")) if mean else running,

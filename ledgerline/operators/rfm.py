@@ -15,6 +15,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.dates import day, months_before
+from ledgerline.functions.exact import from_units, total_units
 from ledgerline.functions.keys import pair_key
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import null_safe_left_join
@@ -123,11 +124,11 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
     measures = [
         F.min(billed).alias("first_date"),
         F.max(billed).alias("last_date"),
-        F.sum(quoted(c.sales_value)).alias("value"),
-        F.sum(F.when(quoted(c.specialty_flag), quoted(c.sales_value)).otherwise(F.lit(0))).alias(
-            "specialty_value"
-        ),
-        F.sum(quoted(c.quantity)).alias("units"),
+        total_units(quoted(c.sales_value), spec.scale).alias("value"),
+        total_units(
+            F.when(quoted(c.specialty_flag), quoted(c.sales_value)).otherwise(F.lit(0)), spec.scale
+        ).alias("specialty_value"),
+        total_units(quoted(c.quantity), spec.scale).alias("units"),
     ]
     if not spec.exact:
         measures += [
@@ -199,9 +200,9 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
             },
         }
         sums |= {
-            out("total_order_value"): F.round(at("value"), spec.scale),
-            out("total_order_value_specialty_only"): F.round(at("specialty_value"), spec.scale),
-            out("total_units_billed"): F.round(at("units"), spec.scale),
+            out("total_order_value"): from_units(at("value"), spec.scale),
+            out("total_order_value_specialty_only"): from_units(at("specialty_value"), spec.scale),
+            out("total_units_billed"): from_units(at("units"), spec.scale),
         }
         total = quoted(out("total_order_value"))
         ratios |= {
@@ -235,7 +236,7 @@ def with_ranks_and_shares(
     metrics: Sequence[str],
     key: str = "primary_key",
     present: Mapping[str, str] | None = None,
-    scale: int | None = 4,
+    scale: int | None = 8,
 ) -> DataFrame:
     """Rank, cumulative sum, total, share and cumulative share of each metric over all rows.
 

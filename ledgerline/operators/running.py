@@ -46,8 +46,8 @@ def running_totals(
 
     ``sums`` maps an output column to the column it adds up; ``totals`` maps an output column
     to one of the ``sums`` outputs and holds its value over the whole partition.  With ``scale``
-    sums of doubles are rounded to that many digits, which removes the trace of the order of
-    addition as long as the inputs have no more digits.
+    values are added up as decimals with that many digits, so that the sums do not depend on
+    the order of addition, and shown as doubles.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -61,6 +61,10 @@ def running_totals(
     split = df.repartitionByRange(ranges, *[k.asc() for k in keys], *order).withColumn(
         _RANGE, F.spark_partition_id()
     )
+
+    def addend(column: str) -> Column:
+        return quoted(column) if scale is None else quoted(column).cast(f"decimal(28,{scale})")
+
     in_range = Window.partitionBy(*keys, _RANGE)
     up_to_peers = in_range.orderBy(*[o.expression() for o in peers]).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -68,7 +72,7 @@ def running_totals(
     local = (
         split.withColumn("__n", F.row_number().over(in_range.orderBy(*order)))
         .withColumns(
-            {f"__s{i}": F.sum(quoted(c)).over(up_to_peers) for i, c in enumerate(sums.values())}
+            {f"__s{i}": F.sum(addend(c)).over(up_to_peers) for i, c in enumerate(sums.values())}
         )
         .checkpoint()
     )
@@ -137,19 +141,19 @@ def running_totals(
         on = on & quoted(k).eqNullSafe(F.col(f"__k{i}"))
     joined = local.join(offsets, on, "left")
 
-    def rounded(c: Column) -> Column:
-        return c if scale is None else F.round(c, scale)
+    def shown(c: Column) -> Column:
+        return c if scale is None else c.cast("double")
 
     out = {name: quoted(name) for name in df.columns}
     if rank:
         out[rank] = F.col("__n") + F.col("__rows_before")
     for i, name in enumerate(sums):
-        out[name] = rounded(
+        out[name] = shown(
             F.when(peer.eqNullSafe(F.col("__last_peer")), F.col(f"reached.s{i}")).otherwise(
                 plus(F.col(f"__before{i}"), F.col(f"__s{i}"))
             )
         )
     position = {name: i for i, name in enumerate(sums)}
     for name, of in totals.items():
-        out[name] = rounded(F.col(f"__total{position[of]}"))
+        out[name] = shown(F.col(f"__total{position[of]}"))
     return joined.select([c.alias(name) for name, c in out.items()])

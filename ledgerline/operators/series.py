@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ledgerline.functions.exact import exact_sum, from_units, total_units
 from ledgerline.functions.keys import pair_key
 from ledgerline.operators.columns import quoted
 
@@ -37,8 +38,8 @@ def daily_pre_aggregate(
     collected = {n: c for n, c in sets.items() if c not in grouping}
     daily = keyed.groupBy(*[quoted(k) for k in grouping]).agg(
         F.count(quoted(item_key)).alias("item_count"),
-        F.round(F.sum(quoted(quantity)), scale).alias("billed_quantity"),
-        F.round(F.sum(quoted(value)), scale).alias("sales_value"),
+        exact_sum(quoted(quantity), scale).alias("billed_quantity"),
+        exact_sum(quoted(value), scale).alias("sales_value"),
         *[F.sort_array(F.collect_set(quoted(c))).alias(f"{n}_set") for n, c in collected.items()],
     )
     return (
@@ -125,7 +126,7 @@ def daily_series(
     """
     keys, members = list(keys), dict(members)
     columns = [quoted(k) for k in keys] + [quoted(date)]
-    base = df.groupBy(*columns).agg(*[F.sum(quoted(s)).alias(s) for s in sums])
+    base = df.groupBy(*columns).agg(*[total_units(quoted(s), scale).alias(s) for s in sums])
     if members:
         seen = _member_rows(df, keys, date, members)
         first = F.min(quoted(date)).over(
@@ -143,7 +144,7 @@ def daily_series(
         base = base.unionByName(counted, allowMissingColumns=True)
     counts = [f"{m}_count" for m in members] + [f"__new_{m}" for m in members if m in cumulative]
     daily = base.groupBy(*columns).agg(
-        *[F.round(F.sum(quoted(s)), scale).alias(s) for s in sums],
+        *[from_units(F.sum(quoted(s)), scale).alias(s) for s in sums],
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts],
     )
     ordered = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(quoted(date))

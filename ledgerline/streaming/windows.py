@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.functions.exact import exact_sum
+
 
 def tumbling_totals(
     events: DataFrame,
@@ -20,7 +22,7 @@ def tumbling_totals(
     source = events.withWatermark(time, lateness) if lateness else events
     return (
         source.groupBy(F.window(time, width), *keys)
-        .agg(F.count("*").alias("event_count"), F.round(F.sum(value), scale).alias("total_value"))
+        .agg(F.count("*").alias("event_count"), exact_sum(value, scale).alias("total_value"))
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
