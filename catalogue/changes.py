@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from catalogue.tables import ITEMS, items, table
@@ -13,19 +11,13 @@ from ledgerline.operators.dedup import distinct_rows, latest_rows, one_per_key
 from ledgerline.operators.filters import drop_deletions
 from ledgerline.operators.joins import enrich, upsert
 from ledgerline.operators.sets import changed_names, lineage_union, row_counts, wide_union
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import scratch_folder as scratch
 from ledgerline.sources.readers import read_components, read_stream, read_tab_file
 from ledgerline.sources.writers import full_refresh, write_batch, write_outputs
 from ledgerline.streaming.changelog import current_rows, read_state, reenrich, run_changelog
 from ledgerline.streaming.windows import tumbling_totals
 
 
-def scratch(spark) -> str:
-    """A new folder in the shared checkpoint location."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-
-
 def changes_of(events):
     """Events as a change log: deletions, an unknown mode, and two comparison columns."""
     return events.select(

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.changes import scratch
 from catalogue.tables import table
 from ledgerline.metadata import dictionary, flat_catalogue, json_catalogue, suite_catalogue, system_catalogue
 from ledgerline.operators.rollups import ordered_names
+from ledgerline.session import scratch_folder as scratch
 
 
 def columns_of(spark, sf):

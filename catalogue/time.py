@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.tables import AS_OF, ITEMS, items, table
 from ledgerline.functions.exact import exact_sum
 from ledgerline.functions.dates import date_parts, months_before
-from ledgerline.operators.blocks import label_blocks, summarise_blocks
+from ledgerline.operators.blocks import label_blocks, transaction_blocks
 from ledgerline.operators.filters import recent
 from ledgerline.operators.series import (
     change_intervals,
@@ -127,9 +127,8 @@ def _priced(spark, sf):
 
 
 def _blocks(spark, sf, kind):
-    labelled = label_blocks(_priced(spark, sf), _PARTITION, absolute=1_000_000)
-    summary = summarise_blocks(labelled, _PARTITION, kind, exact=True)
-    return summary.withColumn("median_unit_price", F.round("median_unit_price", 5))
+    blocks = transaction_blocks(_priced(spark, sf), _PARTITION, absolute=1_000_000, exact=True)
+    return blocks[kind].withColumn("median_unit_price", F.round("median_unit_price", 5))
 
 
 def txn_blocks_relative(spark, sf):

@@ -166,27 +166,37 @@ def subset_pairs(
     A small set can only lie inside sets that hold its rarest element, so that element alone
     makes the candidates: an element that nearly every set has (a client number, a language)
     never multiplies pairs unless it is all a set consists of.  Candidates are then verified
-    on the whole sets.  Empty small sets pair with nothing.
+    by counting the small set's elements found in the large one, as narrow rows of ids.  Empty
+    small sets pair with nothing.
     """
-    sets = large.select(
-        quoted(large_id).alias("large_id"), F.array_distinct(quoted(elements)).alias("large_set")
+    held = large.select(
+        quoted(large_id).alias("large_id"), F.explode(F.array_distinct(quoted(elements))).alias("element")
     )
-    postings = sets.select("large_id", F.explode("large_set").alias("element"))
-    frequency = postings.groupBy("element").agg(F.count("*").alias("sets"))
-    signatures = (
-        small.select(
-            quoted(small_id).alias("small_id"), F.array_distinct(quoted(elements)).alias("small_set")
+    wanted = small.select(
+        quoted(small_id).alias("small_id"), F.explode(F.array_distinct(quoted(elements))).alias("element")
+    )
+    frequency = held.groupBy("element").agg(F.count("*").alias("sets"))
+    rarest = (
+        wanted.join(frequency, "element", "left")
+        .groupBy("small_id")
+        .agg(
+            F.count("*").alias("members"),
+            F.min_by("element", F.struct(F.coalesce("sets", F.lit(0)), "element")).alias("element"),
         )
-        .select("*", F.explode("small_set").alias("element"))
-        .join(frequency, "element", "left")
-        .groupBy("small_id", "small_set")
-        .agg(F.min_by("element", F.struct(F.coalesce("sets", F.lit(0)), "element")).alias("element"))
     )
-    candidates = signatures.join(postings, "element").join(sets, "large_id")
-    inside = F.size(F.array_except("small_set", "large_set")) == 0
-    return candidates.filter(inside).select(
-        F.col("small_id").alias(small_id if small_id != large_id else f"small_{small_id}"),
-        F.col("large_id").alias(large_id if small_id != large_id else f"large_{large_id}"),
+    pairs = (
+        rarest.join(held, "element")
+        .select("small_id", "large_id", "members")
+        .join(wanted, "small_id")
+        .join(held, ["large_id", "element"], "left_semi")
+        .groupBy("small_id", "large_id", "members")
+        .agg(F.count("*").alias("found"))
+        .filter("found = members")
+    )
+    same = small_id == large_id
+    return pairs.select(
+        F.col("small_id").alias(f"small_{small_id}" if same else small_id),
+        F.col("large_id").alias(f"large_{large_id}" if same else large_id),
     )
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.operators.columns import quoted
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import settled
 
 _RANGE = "__range"
 
@@ -50,14 +50,13 @@ def running_totals(
     the order of addition, and shown as doubles.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sums, totals = dict(sums or {}), dict(totals or {})
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [o.expression() for o in (*peers, *tie_break)]
     keys = [quoted(k) for k in partition]
 
     # A row's range depends on sampled bounds.  Numbering and summing within ranges happens in
-    # the same job, and the checkpoint fixes the outcome for the branches below.
+    # the same job, and writing the outcome down fixes it for the branches below.
     split = df.repartitionByRange(ranges, *[k.asc() for k in keys], *order).withColumn(
         _RANGE, F.spark_partition_id()
     )
@@ -69,12 +68,10 @@ def running_totals(
     up_to_peers = in_range.orderBy(*[o.expression() for o in peers]).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = (
-        split.withColumn("__n", F.row_number().over(in_range.orderBy(*order)))
-        .withColumns(
+    local = settled(
+        split.withColumn("__n", F.row_number().over(in_range.orderBy(*order))).withColumns(
             {f"__s{i}": F.sum(addend(c)).over(up_to_peers) for i, c in enumerate(sums.values())}
         )
-        .checkpoint()
     )
 
     # One row per partition and range: its size, its sums, and the sums at its first peers.
