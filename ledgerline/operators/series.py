@@ -70,11 +70,12 @@ def _tagged(values: Column, kind: int) -> Column:
 def union_of_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[str]) -> DataFrame:
     """Member sets of coarser groups from those of finer ones, sorted.
 
-    Members are spread out and collected as a set, so duplicates vanish before the shuffle.
+    Members are spread out and made distinct first, so duplicates vanish before the shuffle.  A
+    group without members has empty sets.
     """
     exploded = df.select(
         *[quoted(k) for k in keys],
-        F.inline(
+        F.inline_outer(
             F.flatten(
                 F.array(
                     *[
