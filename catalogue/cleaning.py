@@ -209,15 +209,13 @@ def mapped_values(spark, sf):
 
 
 def key_position_lookup(spark, sf):
-    """Where a supplier's flags stand among its names: names at the first position of an element."""
-    sets = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_partkey", "l_returnflag"))).alias("e")
-    )
-    names = F.transform("e", lambda x: x["l_partkey"].cast("string"))
-    found = key_positions(
-        names, F.col("e.l_returnflag"), F.array(F.lit("R"), F.lit("A"), F.lit("Z"))
-    )
-    return sets.select("l_orderkey", F.array_join(found, "|").alias("resolved"))
+    """Which attribute of a product holds a wanted value first."""
+    names = F.array(F.lit("type"), F.lit("brand"), F.lit("size_class"))
+    size = F.when(F.col("p_size") > 25, "LARGE").otherwise("SMALL")
+    elements = F.array(F.col("p_type"), F.col("p_brand"), size)
+    wanted = F.array(F.lit("LARGE"), F.lit("none"), F.lit("Brand#7"), F.lit("SMALL"))
+    found = key_positions(names, elements, wanted)
+    return table(spark, sf, "part").select("p_partkey", F.array_join(found, "|").alias("resolved"))
 
 
 def pruned_columns(spark, sf):
@@ -294,8 +292,9 @@ QUERIES = {
     ),
     "key_position_lookup": (
         key_position_lookup,
-        """SELECT l_orderkey, concat_ws('|', CAST(min(l_partkey) FILTER (WHERE l_returnflag = 'R') AS VARCHAR),
-          CAST(min(l_partkey) FILTER (WHERE l_returnflag = 'A') AS VARCHAR)) AS resolved FROM lineitem GROUP BY 1""",
+        """SELECT p_partkey, concat_ws('|', CASE WHEN p_type = 'LARGE' THEN 'type' WHEN p_size > 25 THEN 'size_class' END,
+          CASE WHEN p_brand = 'Brand#7' THEN 'brand' END,
+          CASE WHEN p_type = 'SMALL' THEN 'type' WHEN p_size <= 25 THEN 'size_class' END) AS resolved FROM part""",
     ),
     "pruned_columns": (
         pruned_columns,

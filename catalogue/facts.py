@@ -313,9 +313,9 @@ def containment_table(spark, sf):
 
 def array_subset_links(spark, sf):
     source = items(spark, sf)
-    small = source.groupBy("header_key").agg(F.collect_set("product_key").alias("products"))
-    large = source.groupBy("sold_to_key").agg(F.collect_set("product_key").alias("products"))
-    return subset_pairs(small, large, "header_key", "sold_to_key", "products")
+    small = source.select("header_key", F.col("product_key").alias("element"))
+    large = source.select("sold_to_key", F.col("product_key").alias("element"))
+    return subset_pairs(small, large, "header_key", "sold_to_key")
 
 
 _SUBSET_SQL = f"""WITH {ITEMS}, s AS (SELECT DISTINCT header_key, product_key FROM items), l AS (SELECT DISTINCT sold_to_key, product_key FROM items),

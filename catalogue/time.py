@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.tables import AS_OF, ITEMS, items, table
 from ledgerline.functions.exact import exact_sum
 from ledgerline.functions.dates import date_parts, months_before
-from ledgerline.operators.blocks import label_blocks, transaction_blocks
+from ledgerline.operators.blocks import block_labels, transaction_blocks
 from ledgerline.operators.filters import recent
 from ledgerline.operators.series import (
     change_intervals,
@@ -140,12 +140,7 @@ def txn_blocks_absolute(spark, sf):
 
 
 def txn_block_labels(spark, sf):
-    labelled = label_blocks(_priced(spark, sf), _PARTITION, absolute=1_000_000)
-    return labelled.groupBy(
-        *_PARTITION, "item_key", "billing_date", "cumulative_total_sales_value", "total_sales_value",
-        "cumulative_total_sales_value_pcntg", "relative_size_transaction_block_label",
-        "absolute_size_transaction_block_label",
-    ).agg(F.count("*").alias("peer_rows"), F.max("row_rank").alias("last_rank"))
+    return block_labels(_priced(spark, sf), _PARTITION, absolute=1_000_000)
 
 
 _LABELLED = f"""priced AS (SELECT *, floor(sales_value / nullif(billed_quantity, 0) * 10000) / 10000 AS unit_price FROM items),
@@ -228,7 +223,10 @@ QUERIES = {
         txn_block_labels,
         f"""WITH {ITEMS}, {_LABELLED} SELECT trade_name, unit_of_measure, item_key, billing_date, cumulative_total_sales_value,
           total_sales_value, cumulative_total_sales_value_pcntg, relative_size_transaction_block_label,
-          absolute_size_transaction_block_label, count(*) AS peer_rows, max(row_rank) AS last_rank FROM c2 GROUP BY ALL""",
+          absolute_size_transaction_block_label, count(*) AS items, max(row_rank) AS row_rank,
+          concat_ws('_||_', trade_name, unit_of_measure, relative_size_transaction_block_label) AS relative_size_transaction_block_id,
+          concat_ws('_||_', trade_name, unit_of_measure, absolute_size_transaction_block_label) AS absolute_size_transaction_block_id
+        FROM c2 GROUP BY ALL""",
     ),
     "trend_islands": (trend_islands, _ISLANDS_SQL),
     "date_functions": (

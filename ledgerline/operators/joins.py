@@ -158,23 +158,24 @@ def containment_flag(
     return joined.withColumn(flag, F.coalesce(quoted(flag), F.lit(False)))
 
 
-def subset_pairs(
-    small: DataFrame, large: DataFrame, small_id: str, large_id: str, elements: str
-) -> DataFrame:
-    """All pairs whose small set lies inside the large set.
+def members_of(df: DataFrame, key: str, elements: str) -> DataFrame:
+    """Sets held in an array column as distinct (key, element) rows."""
+    return df.select(
+        quoted(key), F.explode(F.array_distinct(quoted(elements))).alias("element")
+    )
+
+
+def subset_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id: str) -> DataFrame:
+    """All pairs whose small set lies inside the large set; sets are (id, ``element``) rows.
 
     A small set can only lie inside sets that hold its rarest element, so that element alone
     makes the candidates: an element that nearly every set has (a client number, a language)
     never multiplies pairs unless it is all a set consists of.  Candidates are then verified
-    by counting the small set's elements found in the large one, as narrow rows of ids.  Empty
-    small sets pair with nothing.
+    by counting the small set's elements found in the large one, as narrow rows of ids.  No
+    set is ever gathered in one place.  An empty small set has no rows and pairs with nothing.
     """
-    held = large.select(
-        quoted(large_id).alias("large_id"), F.explode(F.array_distinct(quoted(elements))).alias("element")
-    )
-    wanted = small.select(
-        quoted(small_id).alias("small_id"), F.explode(F.array_distinct(quoted(elements))).alias("element")
-    )
+    held = large.select(quoted(large_id).alias("large_id"), "element").distinct()
+    wanted = small.select(quoted(small_id).alias("small_id"), "element").distinct()
     frequency = held.groupBy("element").agg(F.count("*").alias("sets"))
     rarest = (
         wanted.join(frequency, "element", "left")

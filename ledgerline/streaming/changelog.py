@@ -56,8 +56,14 @@ def fold_changes(
     if state is None:
         return latest_rows(changes, [key], comparison, one_per_key, tie_break)
     if late_safe:
-        both = changes.unionByName(state.select(changes.columns))
-        return latest_rows(both, [key], comparison, one_per_key, tie_break)
+        # Only state rows of changed keys are compared; against a batch that is small enough
+        # to be broadcast the rest of the state is not even shuffled.
+        state = state.select(changes.columns)
+        changed = changes.select(F.col(key).alias("__changed")).distinct()
+        same = F.col(key).eqNullSafe(F.col("__changed"))
+        compared = changes.unionByName(state.join(changed, same, "left_semi"))
+        latest = latest_rows(compared, [key], comparison, one_per_key, tie_break)
+        return latest.unionByName(state.join(changed, same, "left_anti"))
     return upsert(latest_rows(changes, [key], comparison, one_per_key, tie_break), state, key)
 
 

@@ -158,8 +158,8 @@ def test_subset_pairs_equal_brute_force(spark, rows):
     small = [(f"s{i}", [rng.choice("abcdefgh") for _ in range(rng.randint(0, 3))]) for i in range(40)]
     large = [(f"l{i}", ["a"] + [rng.choice("abcdefg") for _ in range(rng.randint(0, 6))]) for i in range(25)]
     got = joins.subset_pairs(
-        spark.createDataFrame(small, "s string, e array<string>"),
-        spark.createDataFrame(large, "l string, e array<string>"), "s", "l", "e",
+        joins.members_of(spark.createDataFrame(small, "s string, e array<string>"), "s", "e"),
+        joins.members_of(spark.createDataFrame(large, "l string, e array<string>"), "l", "e"), "s", "l",
     )
     want = sorted((s, l) for s, x in small for l, y in large if x and set(x) <= set(y))
     assert rows(got) == want
@@ -289,35 +289,51 @@ def test_abc_refuses_other_aggregates(spark):
         pareto.abc_classification(spark.range(1), "id", ["id"], aggregate="max")
 
 
+BLOCK_ITEMS = "trade string, item_key string, billing_date date, sales_value double, unit_price double, sold_to_key string, product_key string"
+
+
 def test_blocks(spark):
     day = dt.date(2024, 1, 1)
     data = [("t", f"i{n:03d}", day + dt.timedelta(n // 4), 10.0, 2.0, "c", "p") for n in range(100)]
-    data.append(("t", "i000", day, -5.0, 2.0, "c", "p"))
-    df = spark.createDataFrame(
-        data, "trade string, item_key string, billing_date date, sales_value double, unit_price double, sold_to_key string, product_key string"
-    )
-    labelled = blocks.label_blocks(df, ["trade"], absolute=100)
-    by_item = {(r["item_key"], r["sales_value"]): r for r in labelled.collect()}
-    assert by_item["i000", 10.0]["cumulative_total_sales_value"] == 5.0  # peers share the sum
-    assert by_item["i099", 10.0]["relative_size_transaction_block_label"] == 100
-    assert by_item["i010", 10.0]["absolute_size_transaction_block_id"] == "t_||_1"
+    data.append(("t", "i000", day, -5.0, 3.0, "c", "p"))
+    df = spark.createDataFrame(data, BLOCK_ITEMS)
+    labels = {r["item_key"]: r for r in blocks.block_labels(df, ["trade"], absolute=100).collect()}
+    assert labels["i000"]["cumulative_total_sales_value"] == 5.0 and labels["i000"]["row_rank"] == 2
+    assert labels["i001"]["row_rank"] == 3
+    assert labels["i099"]["relative_size_transaction_block_label"] == 100
+    assert labels["i010"]["absolute_size_transaction_block_id"] == "t_||_1"
     out = blocks.transaction_blocks(df, ["trade"], absolute=100, exact=True)
-    last = {r["absolute_size_transaction_block_id"]: r for r in out["absolute"].collect()}["t_||_0"]
-    assert last["uniq_txn_count"] == 10 and last["median_unit_price"] == 2.0
+    first = {r["absolute_size_transaction_block_id"]: r for r in out["absolute"].collect()}["t_||_0"]
+    assert first["uniq_txn_count"] == 10 and first["median_unit_price"] == 2.0 and first["max_unit_price"] == 3.0
+    assert first["avg_unit_price"] == 23 / 11 and first["avg_sales_value"] == 95 / 11
     approx = blocks.transaction_blocks(df, ["trade"], absolute=100)["absolute"]
     assert approx.count() == out["absolute"].count()
 
 
+def test_copies_of_an_item_count_each(spark):
+    day = dt.date(2024, 1, 1)
+    data = [("t", "a", day, 1.0, 5.0, "c", "p")] * 7 + [("t", "b", day, 3.0, 1.0, "c", "p")]
+    r = blocks.transaction_blocks(spark.createDataFrame(data, BLOCK_ITEMS), ["trade"], exact=True)["absolute"].first()
+    assert (r["total_sales_value"], r["avg_sales_value"], r["median_unit_price"], r["avg_unit_price"]) == (10.0, 1.25, 5.0, 4.5)
+    assert r["uniq_txn_count"] == 2
+
+
 def test_negative_start_counts_to_block_zero(spark):
     day = dt.date(2024, 1, 1)
-    df = spark.createDataFrame(
-        [("t", "a", day, -50.0, 1.0, "c", "p"), ("t", "b", day, 150.0, 1.0, "c", "p")],
-        "trade string, item_key string, billing_date date, sales_value double, unit_price double, sold_to_key string, product_key string",
-    )
-    labels = {r["item_key"]: r["relative_size_transaction_block_label"] for r in blocks.label_blocks(df, ["trade"]).collect()}
+    df = spark.createDataFrame([("t", "a", day, -50.0, 1.0, "c", "p"), ("t", "b", day, 150.0, 1.0, "c", "p")], BLOCK_ITEMS)
+    labels = {r["item_key"]: r["relative_size_transaction_block_label"] for r in blocks.block_labels(df, ["trade"]).collect()}
     assert labels == {"a": 0, "b": 100}
 
 
+def test_medians_equal_percentile(spark, rows):
+    rng = random.Random(9)
+    data = [(rng.choice(["hot"] * 5 + ["x", None]), rng.choice([None, 1.0, 2.5, 4.0, 7.0]), rng.randint(1, 3)) for _ in range(300)]
+    df = spark.createDataFrame(data, "g string, v double, n int")
+    got = blocks.medians(df, ["g"], "v", "n")
+    spread = df.select("g", "v", F.explode(F.sequence(F.lit(1), "n")))
+    assert rows(got) == rows(spread.filter("v is not null").groupBy("g").agg(F.percentile("v", 0.5)))
+
+
 def test_attribute_rollup(spark):
     df = spark.createDataFrame(
         [("g", "p1", "m", ["x"]), ("g", "p2", None, ["y", "x"]), ("g", "p2", "m", None), ("", "p3", "m", ["z"]), (None, "p4", "m", ["z"])],
