@@ -321,7 +321,8 @@ def _series(level_name: str, filter_id: str):
     level = _LEVELS[level_name]
 
     def build(spark, sf):
-        daily = series_pre_aggregate(items(spark, sf), _KEYS, AS_OF, prune=False)
+        source = items(spark, sf, since=months_before(AS_OF, 6))
+        daily = series_pre_aggregate(source, _KEYS, AS_OF, prune=False)
         return series_metrics(daily, level, filter_id, row_filters()[filter_id])
 
     condition = {"all": "true", "pd_only": "NOT specialty_flag", "spd_only": "specialty_flag"}[filter_id]

@@ -75,7 +75,7 @@ def fact_star_enrich(spark, sf):
         ),
     ]
     fact = enriched_invoices(
-        items(spark, sf, products=True),
+        items(spark, sf, products=True, since=_FACT_FROM),
         dimensions,
         AS_OF,
         title=invoice_title("header_key", "item_key", "ship_to_key", "billing_date"),

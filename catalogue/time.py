@@ -27,7 +27,7 @@ _CUTOFF = months_before(AS_OF, 6)
 
 def _pre_aggregate(spark, sf):
     return daily_pre_aggregate(
-        recent(items(spark, sf), "billing_date", AS_OF, 6),
+        recent(items(spark, sf, since=_CUTOFF), "billing_date", AS_OF, 6),
         _KEYS, "billing_date", "item_key", "billed_quantity", "sales_value",
         _SETS, date_parts(F.col("billing_date")),
     )
@@ -127,7 +127,9 @@ def _priced(spark, sf):
 
 
 def _blocks(spark, sf, kind):
-    blocks = transaction_blocks(_priced(spark, sf), _PARTITION, absolute=1_000_000, exact=True)
+    blocks = transaction_blocks(
+        _priced(spark, sf), _PARTITION, absolute=1_000_000, exact=True, kinds=[kind]
+    )
     return blocks[kind].withColumn("median_unit_price", F.round("median_unit_price", 5))
 
 
