@@ -127,16 +127,26 @@ def drop_constant_columns(df: DataFrame, exact: bool = False) -> DataFrame:
     return df.drop(*[c for c, n in counts.items() if n <= 1])
 
 
-def columns_by_null_count(df: DataFrame, textual: bool = False) -> list[str]:
-    """Column names, fewest nulls first.  ``textual`` compares the counts as text (10 before 2)."""
-    counts = _one_row(df, {c: F.count_if(quoted(c).isNull()) for c in df.columns})
+def columns_by_null_count(
+    df: DataFrame, textual: bool = False, without_empty: bool = False
+) -> list[str]:
+    """Column names, fewest nulls first, on request without those that hold nothing else.
+
+    ``textual`` compares the counts as text (10 before 2).
+    """
+    nulls = {c: F.count_if(quoted(c).isNull()) for c in df.columns}
+    counts = _one_row(df, {**nulls, None: F.count("*")})
+    rows = counts.pop(None)
+    names = [c for c in counts if not without_empty or counts[c] < rows]
     if textual:
-        return sorted(counts, key=lambda c: f"{counts[c]}_{c}")
-    return sorted(counts, key=lambda c: (counts[c], c))
+        return sorted(names, key=lambda c: f"{counts[c]}_{c}")
+    return sorted(names, key=lambda c: (counts[c], c))
 
 
-def order_by_null_count(df: DataFrame, textual: bool = False) -> DataFrame:
-    return df.select([quoted(c) for c in columns_by_null_count(df, textual)])
+def order_by_null_count(
+    df: DataFrame, textual: bool = False, without_empty: bool = False
+) -> DataFrame:
+    return df.select([quoted(c) for c in columns_by_null_count(df, textual, without_empty)])
 
 
 def without_shared_columns(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

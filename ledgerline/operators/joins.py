@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.text import contains_any
 from ledgerline.operators.columns import quoted
+from ledgerline.session import settled
 
 _SALT = "__null_salt"
 
@@ -171,13 +172,14 @@ def subset_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id: st
     A small set can only lie inside sets that hold its rarest element, so that element alone
     makes the candidates: an element that nearly every set has (a client number, a language)
     never multiplies pairs unless it is all a set consists of.  Candidates are then verified
-    by counting the small set's elements found in the large one, as narrow rows of ids.  No
-    set is ever gathered in one place.  An empty small set has no rows and pairs with nothing.
+    by counting the small set's other elements found in the large one, as narrow rows of ids.
+    No set is ever gathered in one place; the rows and the rarest elements are written down, as
+    several joins read them.  An empty small set has no rows and pairs with nothing.
     """
-    held = large.select(quoted(large_id).alias("large_id"), "element").distinct()
-    wanted = small.select(quoted(small_id).alias("small_id"), "element").distinct()
+    held = settled(large.select(quoted(large_id).alias("large_id"), "element").distinct())
+    wanted = settled(small.select(quoted(small_id).alias("small_id"), "element").distinct())
     frequency = held.groupBy("element").agg(F.count("*").alias("sets"))
-    rarest = (
+    rarest = settled(
         wanted.join(frequency, "element", "left")
         .groupBy("small_id")
         .agg(
@@ -185,15 +187,21 @@ def subset_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id: st
             F.min_by("element", F.struct(F.coalesce("sets", F.lit(0)), "element")).alias("element"),
         )
     )
-    pairs = (
-        rarest.join(held, "element")
-        .select("small_id", "large_id", "members")
-        .join(wanted, "small_id")
+    candidates = rarest.join(held, "element").select("small_id", "large_id", "members")
+    others = (
+        wanted.join(rarest.select("small_id", F.col("element").alias("rarest")), "small_id")
+        .filter("element != rarest")
+        .drop("rarest")
+    )
+    verified = (
+        candidates.filter("members > 1")
+        .join(others, "small_id")
         .join(held, ["large_id", "element"], "left_semi")
         .groupBy("small_id", "large_id", "members")
         .agg(F.count("*").alias("found"))
-        .filter("found = members")
+        .filter("found = members - 1")
     )
+    pairs = candidates.filter("members = 1").unionByName(verified.drop("found"))
     same = small_id == large_id
     return pairs.select(
         F.col("small_id").alias(f"small_{small_id}" if same else small_id),

@@ -10,6 +10,7 @@ from ledgerline.functions.exact import from_units, total_units
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import attach_totals
 from ledgerline.operators.running import Order, running_totals
+from ledgerline.session import settled
 
 # The default upper shares of class A and class B.
 A_MAX = 0.8
@@ -50,7 +51,8 @@ def abc_classification(
 ) -> DataFrame:
     """One row per group and partition with both levels of the classification.
 
-    The rows are aggregated once, to groups; partitions and the whole table are sums of those.
+    The rows are aggregated once, to groups, which are written down; partitions and the whole
+    table are sums of those.
     ``aggregate`` is ``sum`` or ``avg``; the running figure of an average is the average over
     the groups so far.
     """
@@ -64,8 +66,11 @@ def abc_classification(
         return F.try_divide(whole, F.col(count)) if mean else whole
 
     sums = [F.sum("__sum").alias("__sum"), F.sum("__count").alias("__count")]
-    groups = df.groupBy(*[quoted(c) for c in partition + group]).agg(
-        total_units(quoted(metric), scale).alias("__sum"), F.count(quoted(metric)).alias("__count")
+    groups = settled(
+        df.groupBy(*[quoted(c) for c in partition + group]).agg(
+            total_units(quoted(metric), scale).alias("__sum"),
+            F.count(quoted(metric)).alias("__count"),
+        )
     )
     blocks = groups.groupBy(*[quoted(c) for c in partition]).agg(*sums)
     dataset = blocks.agg(*sums).select(figure("__sum", "__count").alias("dataset_value"))

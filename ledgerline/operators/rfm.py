@@ -20,6 +20,7 @@ from ledgerline.functions.keys import pair_key
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import null_safe_left_join
 from ledgerline.operators.running import Order, running_totals
+from ledgerline.session import settled
 
 # The default horizons and the age at which a group counts as active.
 FIXED_STARTS = ("2022-01-01", "2023-01-01")
@@ -294,8 +295,11 @@ def with_ranks_and_shares(
 
 
 def rfm_with_ranks(items: DataFrame, groups: Sequence[str | Column], name: str, spec: RfmSpec) -> DataFrame:
-    """:func:`rfm_metrics` plus ranks; each horizon ranks the groups that have items in it."""
-    metrics = rfm_metrics(items, groups, name, spec)
+    """:func:`rfm_metrics` plus ranks; each horizon ranks the groups that have items in it.
+
+    The metrics are written down first, so the items are read once.
+    """
+    metrics = settled(rfm_metrics(items, groups, name, spec))
     flag = {
         f"{name}_{m}_since_{h.alias}": f"{name}_order_count_since_{h.alias}"
         for h in spec.horizons

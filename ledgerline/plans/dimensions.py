@@ -21,6 +21,7 @@ from ledgerline.operators.filters import genuine_relations, is_member, not_delet
 from ledgerline.operators.joins import containment_flag, null_safe_left_join, partner_columns
 from ledgerline.operators.rfm import RfmSpec, enrich_with_rfm, label_sets
 from ledgerline.operators.rollups import attribute_rollup
+from ledgerline.session import settled
 
 ALL = ("all",)
 SPLIT = ("all", "spd_only", "pd_only")
@@ -136,7 +137,7 @@ def affiliations(
     first = spec.horizons[0].alias
     df = enrich_with_rfm(customer_dimension, items, [affiliation], name, spec, ranks)
     df = df.filter(quoted(f"{name}_has_billing_documents_since_{first}").isNotNull())
-    return with_series_ids(drop_null_columns(df), "primary_key", name, SPLIT)
+    return with_series_ids(drop_null_columns(settled(df)), "primary_key", name, SPLIT)
 
 
 def products(
@@ -209,7 +210,7 @@ def vendors(base: DataFrame, items: DataFrame, spec: RfmSpec, key: str = "manufa
 
 def tidy_passthrough(base: DataFrame, textual: bool = False) -> DataFrame:
     """Without empty columns, the fullest columns first."""
-    return order_by_null_count(drop_null_columns(base), textual)
+    return order_by_null_count(base, textual, without_empty=True)
 
 
 def plant_products(base: DataFrame, plant: str, specialty_plants: Sequence[str]) -> DataFrame:
@@ -226,4 +227,5 @@ def area_metrics(
         areas.withColumnRenamed(code, "primary_key"), items, [code], name, spec, ranks
     )
     df = df.withColumnsRenamed({"primary_key": code, geo_id: "primary_key"})
-    return with_series_ids(drop_null_columns(df, keep=["primary_key"]), "primary_key", name, SPLIT)
+    tidy = drop_null_columns(settled(df), keep=["primary_key"])
+    return with_series_ids(tidy, "primary_key", name, SPLIT)

@@ -16,6 +16,7 @@ from ledgerline.operators.joins import null_safe_left_join
 from ledgerline.operators.rfm import RfmSpec, enrich_with_rfm
 from ledgerline.operators.rollups import entity_pairs
 from ledgerline.operators.series import daily_pre_aggregate, daily_series, rolling_trend
+from ledgerline.session import settled
 
 SERIES_MONTHS = 6
 
@@ -92,7 +93,8 @@ def series_pre_aggregate(
         date_parts(F.col("billing_date")),
     )
     daily = decimals_to_double(daily)
-    return drop_null_columns(daily) if prune else daily
+    # looking for empty columns must not compute the aggregate a second time
+    return drop_null_columns(settled(daily)) if prune else daily
 
 
 def series_metrics(
