@@ -47,7 +47,8 @@ def null_safe_left_join(
     keyed = right.select(
         *[quoted(r).alias(f"__key{i}") for i, (_, r) in enumerate(pairs)],
         *[quoted(c) for c in right.columns if c not in {r for _, r in pairs}],
-        F.lit(0).alias("__salt0"),
+        # always 0, but not a literal: the optimizer would turn that into a filter on the left
+        F.xxhash64(*[quoted(r) for _, r in pairs]).bitwiseAND(F.lit(0)).cast("int").alias("__salt0"),
     )
     condition = _all(
         [quoted(l) == F.col(f"__key{i}") for i, (l, _) in enumerate(pairs)]
