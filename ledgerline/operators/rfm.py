@@ -108,12 +108,39 @@ def eligible_items(items: DataFrame, spec: RfmSpec) -> DataFrame:
     )
 
 
-def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spec: RfmSpec) -> DataFrame:
-    """One row per group with every metric of every horizon; empty horizons are null."""
+def banded_metrics(
+    items: DataFrame, roles: Mapping[str, Sequence[str | Column]], spec: RfmSpec
+) -> DataFrame:
+    """Sums, extremes and distinct counts (or sketches) per role, group and band.
+
+    A role is a way of grouping the items, such as by payer or by recipient.  All roles are taken
+    from one reading of the items.
+    """
     c = spec.columns
     starts = sorted({h.start for h in spec.horizons})
+    members = spec.members()
+    members_list = F.array(
+        *[
+            F.struct(F.lit(i).alias("kind"), quoted(column).cast("string").alias("member"))
+            for i, column in enumerate(members.values())
+        ]
+    )
+    measured = [c.billing_date, c.sales_value, c.specialty_flag, c.quantity, *members.values()]
+    eligible = eligible_items(items, spec)
+    if len(roles) == 1:
+        [(role, groups)] = roles.items()
+        placed = eligible.withColumns({"role": F.lit(role), "group": pair_key(*groups)})
+    else:
+        place = F.array(
+            *[
+                F.struct(F.lit(role).alias("role"), pair_key(*groups).alias("group"))
+                for role, groups in roles.items()
+            ]
+        )
+        placed = eligible.select(
+            *[quoted(m) for m in dict.fromkeys(measured)], F.inline(place)
+        )
     billed = quoted(c.billing_date)
-    eligible = eligible_items(items, spec).withColumn("__group", pair_key(*groups))
 
     def band(date: Column) -> Column:
         reached = F.lit(0)
@@ -121,7 +148,6 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
             reached = reached + (date >= day(start)).cast("int")
         return reached
 
-    members = spec.members()
     measures = [
         F.min(billed).alias("first_date"),
         F.max(billed).alias("last_date"),
@@ -136,26 +162,25 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
             F.hll_sketch_agg(quoted(column).cast("string")).alias(metric)
             for metric, column in members.items()
         ]
-    banded = eligible.groupBy("__group", band(billed).alias("band")).agg(*measures)
+    banded = placed.groupBy("role", "group", band(billed).alias("band")).agg(*measures)
+    if not spec.exact:
+        return banded
+    last_seen = (
+        placed.select("role", "group", billed.alias("date"), F.inline(members_list))
+        .filter("member is not null")
+        .groupBy("role", "group", "kind", "member")
+        .agg(F.max("date").alias("date"))
+    )
+    counted = last_seen.groupBy("role", "group", band(F.col("date")).alias("band")).agg(
+        *[F.count_if(F.col("kind") == i).alias(m) for i, m in enumerate(members)]
+    )
+    return banded.unionByName(counted, allowMissingColumns=True)
 
-    if spec.exact:
-        listed = F.array(
-            *[
-                F.struct(F.lit(i).alias("kind"), quoted(column).cast("string").alias("member"))
-                for i, column in enumerate(members.values())
-            ]
-        )
-        last_seen = (
-            eligible.select("__group", billed.alias("date"), F.inline(listed))
-            .filter("member is not null")
-            .groupBy("__group", "kind", "member")
-            .agg(F.max("date").alias("date"))
-        )
-        counted = last_seen.groupBy("__group", band(F.col("date")).alias("band")).agg(
-            *[F.count_if(F.col("kind") == i).alias(m) for i, m in enumerate(members)]
-        )
-        banded = banded.unionByName(counted, allowMissingColumns=True)
 
+def horizon_metrics(banded: DataFrame, name: str, spec: RfmSpec) -> DataFrame:
+    """One row per group with every metric of every horizon from the bands of one role."""
+    starts = sorted({h.start for h in spec.horizons})
+    members = spec.members()
     aggregates = []
     for h in spec.horizons:
         inside = F.col("band") > starts.index(h.start)
@@ -172,7 +197,7 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
                 for m in members
             ],
         ]
-    merged = banded.groupBy(F.col("__group").alias("primary_key")).agg(*aggregates)
+    merged = banded.groupBy(F.col("group").alias("primary_key")).agg(*aggregates)
 
     counts, sums, ratios = {}, {}, {}
     for h in spec.horizons:
@@ -225,6 +250,11 @@ def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spe
     ).withColumns(ratios)
 
 
+def rfm_metrics(items: DataFrame, groups: Sequence[str | Column], name: str, spec: RfmSpec) -> DataFrame:
+    """One row per group with every metric of every horizon; empty horizons are null."""
+    return horizon_metrics(banded_metrics(items, {name: groups}, spec), name, spec)
+
+
 RANKED = ("order_count", "total_order_value", "total_order_value_per_day")
 
 
@@ -294,33 +324,44 @@ def with_ranks_and_shares(
     )
 
 
-def rfm_with_ranks(items: DataFrame, groups: Sequence[str | Column], name: str, spec: RfmSpec) -> DataFrame:
-    """:func:`rfm_metrics` plus ranks; each horizon ranks the groups that have items in it.
+def ranked_metrics(metrics: DataFrame, name: str, spec: RfmSpec) -> DataFrame:
+    """Metrics plus ranks; each horizon ranks the groups that have items in it.
 
-    The metrics are written down first, so the items are read once.
+    The metrics are written down first, so that they are computed once.
     """
-    metrics = settled(rfm_metrics(items, groups, name, spec))
     flag = {
         f"{name}_{m}_since_{h.alias}": f"{name}_order_count_since_{h.alias}"
         for h in spec.horizons
         for m in RANKED
     }
-    return with_ranks_and_shares(metrics, list(flag), present=flag)
+    return with_ranks_and_shares(settled(metrics), list(flag), present=flag)
+
+
+def rfm_with_ranks(items: DataFrame, groups: Sequence[str | Column], name: str, spec: RfmSpec) -> DataFrame:
+    return ranked_metrics(rfm_metrics(items, groups, name, spec), name, spec)
 
 
 def enrich_with_rfm(
     entities: DataFrame,
     items: DataFrame,
-    groups: Sequence[str | Column],
-    name: str,
+    roles: Mapping[str, Sequence[str | Column]],
     spec: RfmSpec,
     ranks: bool = True,
 ) -> DataFrame:
-    """Entities with the metrics of the group their ``primary_key`` names."""
-    measure = rfm_with_ranks if ranks else rfm_metrics
-    return null_safe_left_join(
-        entities, measure(items, groups, name, spec), [("primary_key", "primary_key")]
-    )
+    """Entities with the metrics of the groups their ``primary_key`` names, one set per role.
+
+    ``roles`` maps the name that the metric columns start with to the grouping columns.  The
+    bands of several roles are written down once, so the items are read once for all of them.
+    """
+    banded = banded_metrics(items, roles, spec)
+    if len(roles) > 1:
+        banded = settled(banded)
+    for name in roles:
+        metrics = horizon_metrics(banded.filter(F.col("role") == name), name, spec)
+        if ranks:
+            metrics = ranked_metrics(metrics, name, spec)
+        entities = null_safe_left_join(entities, metrics, [("primary_key", "primary_key")])
+    return entities
 
 
 def label_sets(items: DataFrame, groups: Sequence[str | Column], columns: InvoiceColumns) -> DataFrame:

@@ -34,16 +34,16 @@ PARTNER_TABLE_ROLES = ("A1", "A2", "A3", "AL")
 def measured(
     entities: DataFrame,
     items: DataFrame,
-    groups: Sequence[str],
-    name: str,
+    roles: Mapping[str, Sequence[str]],
     spec: RfmSpec,
     filters: Sequence[str] = SPLIT,
     ranks: bool = True,
 ) -> DataFrame:
-    """Entities with RFM metrics and time-series pointers."""
-    return with_series_ids(
-        enrich_with_rfm(entities, items, groups, name, spec, ranks), "primary_key", name, filters
-    )
+    """Entities with RFM metrics and time-series pointers for each role."""
+    df = enrich_with_rfm(entities, items, roles, spec, ranks)
+    for name in roles:
+        df = with_series_ids(df, "primary_key", name, filters)
+    return df
 
 
 def with_partners(
@@ -83,13 +83,12 @@ def customers(
     df = null_safe_left_join(df, zips, [("zip_code_geo_id", "zip_code_geo_id")])
     df = null_safe_left_join(df, territories, [("primary_key", "primary_key")])
     df = with_partners(df, relations, base, "customer_key", sentinel=sentinel)
-    for name, key in (
-        ("customer", spec.columns.sold_to),
-        ("customer_shipto", spec.columns.ship_to),
-        ("customer_billto", spec.columns.bill_to),
-    ):
-        df = measured(df, items, [key], name, spec, ranks=ranks)
-    return one_per_key(df, ["primary_key"])
+    roles = {
+        "customer": [spec.columns.sold_to],
+        "customer_shipto": [spec.columns.ship_to],
+        "customer_billto": [spec.columns.bill_to],
+    }
+    return one_per_key(measured(df, items, roles, spec, ranks=ranks), ["primary_key"])
 
 
 def customer_accounts(
@@ -114,12 +113,8 @@ def customer_accounts(
         [("customer_key", "customer_key")],
     )
     df = null_safe_left_join(df, trade_classes, [("trade_class", "trade_class")])
-    for name, key in (
-        ("customer_account", sold_to_account),
-        ("customer_account_billto", bill_to_account),
-    ):
-        df = measured(df, items, [key], name, spec, ranks=ranks)
-    return one_per_key(df, ["primary_key"])
+    roles = {"customer_account": [sold_to_account], "customer_account_billto": [bill_to_account]}
+    return one_per_key(measured(df, items, roles, spec, ranks=ranks), ["primary_key"])
 
 
 def partner_tables(
@@ -135,7 +130,7 @@ def affiliations(
     """Customers that others are affiliated with, measured over the affiliated items."""
     name = f"customer_affiliation__{role}"
     first = spec.horizons[0].alias
-    df = enrich_with_rfm(customer_dimension, items, [affiliation], name, spec, ranks)
+    df = enrich_with_rfm(customer_dimension, items, {name: [affiliation]}, spec, ranks)
     df = df.filter(quoted(f"{name}_has_billing_documents_since_{first}").isNotNull())
     return with_series_ids(drop_null_columns(settled(df)), "primary_key", name, SPLIT)
 
@@ -172,7 +167,7 @@ def products(
             "source_labels_count": F.size("source_labels"),
         }
     )
-    df = measured(df, items, [spec.columns.product_key], "product", spec, ALL, ranks)
+    df = measured(df, items, {"product": [spec.columns.product_key]}, spec, ALL, ranks)
     return containment_flag(df, "trade_name", exclusive_names, "is_exclusive")
 
 
@@ -196,7 +191,7 @@ def product_rollup(
         counted=list(lists),
         flattened={"spd_labels": "spd_labels", "source_labels": "source_labels"},
     )
-    return decimals_to_double(measured(rolled, items, [attribute], name, spec, ranks=ranks))
+    return decimals_to_double(measured(rolled, items, {name: [attribute]}, spec, ranks=ranks))
 
 
 def vendors(base: DataFrame, items: DataFrame, spec: RfmSpec, key: str = "manufacturer_key", ranks: bool = True) -> DataFrame:
@@ -204,7 +199,7 @@ def vendors(base: DataFrame, items: DataFrame, spec: RfmSpec, key: str = "manufa
     df = base.withColumn("vendor_number", numeric_code(F.col("vendor_code"))).withColumn(
         "title", template(F.col("name"), " (", F.col("vendor_number"), ")")
     )
-    df = enrich_with_rfm(df, items, [key], "manufacturer", spec, ranks)
+    df = enrich_with_rfm(df, items, {"manufacturer": [key]}, spec, ranks)
     return with_series_ids(df, "primary_key", "vendor", SPLIT)
 
 
@@ -224,7 +219,7 @@ def area_metrics(
 ) -> DataFrame:
     """States or zip codes with the metrics of the items billed there; keyed by their geo id."""
     df = enrich_with_rfm(
-        areas.withColumnRenamed(code, "primary_key"), items, [code], name, spec, ranks
+        areas.withColumnRenamed(code, "primary_key"), items, {name: [code]}, spec, ranks
     )
     df = df.withColumnsRenamed({"primary_key": code, geo_id: "primary_key"})
     tidy = drop_null_columns(settled(df), keep=["primary_key"])

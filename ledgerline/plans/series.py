@@ -155,8 +155,8 @@ def customer_pairs(
         "shipto": spec.columns.ship_to,
     }
     df = entity_pairs(items, list(roles.values()), member, name)
-    for role, key in roles.items():
-        df = enrich_with_rfm(df, items, [key, member], f"customer_{role}_{name}", spec, ranks=False)
+    groups = {f"customer_{role}_{name}": [key, member] for role, key in roles.items()}
+    df = enrich_with_rfm(df, items, groups, spec, ranks=False)
     for dimension, key in ((customer_dimension, "customer_key"), (member_dimension, member)):
         keyed = dimension.drop(key).withColumnRenamed("primary_key", key)
         df = null_safe_left_join(df, without_shared_columns(keyed, df, [key]), [(key, key)])

@@ -110,11 +110,23 @@ def test_ranks(items):
 
 def test_enrichment_keeps_every_entity(spark, items):
     entities = spark.createDataFrame([("hot",), ("nobody",), (None,)], "primary_key string")
-    got = enrich_with_rfm(entities, items, ["sold_to_key"], "c", RfmSpec(AS_OF, HORIZONS, exact=True), ranks=False)
+    got = enrich_with_rfm(entities, items, {"c": ["sold_to_key"]}, RfmSpec(AS_OF, HORIZONS, exact=True), ranks=False)
     assert got.count() == 3
     assert got.filter("primary_key = 'nobody'").first()["c_order_count_since_recent"] is None
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_roles_together_equal_roles_apart(spark, items, rows, exact):
+    spec = RfmSpec(AS_OF, HORIZONS, exact=exact)
+    roles = {"c": ["sold_to_key"], "p": ["product_key", "sold_to_key"]}
+    entities = spark.createDataFrame([("hot",), ("p1_||_hot",), ("c3",)], "primary_key string")
+    together = enrich_with_rfm(entities, items, roles, spec, ranks=False)
+    apart = entities
+    for name, groups in roles.items():
+        apart = apart.join(rfm_metrics(items, groups, name, spec), "primary_key", "left")
+    assert rows(together) == rows(apart.select(together.columns))
+
+
 def test_labels(spark):
     df = spark.createDataFrame([("a", True, False), ("a", False, False), ("b", None, True)], "g string, specialty_flag boolean, source_flag boolean")
     got = {r["primary_key"]: (r["spd_labels"], r["source_labels"]) for r in label_sets(df, ["g"], InvoiceColumns()).collect()}
