@@ -78,7 +78,11 @@ FIELDS = [
 def clean_types(spark, sf):
     raw = parse_replication_stamp(_raw_events(spark, sf), "REPLICATED")
     flagged = raw.withColumn("FLAG", to_boolean(F.col("FLAG")))
-    return clean_iso_stamps(apply_cleaners(flagged, ["distinct_rows", "typed_columns"], FIELDS), FIELDS)
+    typed = apply_cleaners(flagged, ["distinct_rows", "typed_columns"], FIELDS)
+    stamps = ("STAMP", "CHANGED", "REPLICATED_PARSED")
+    return clean_iso_stamps(typed, FIELDS).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in stamps}
+    )
 
 
 _CLEAN_SQL = """SELECT event_id,
