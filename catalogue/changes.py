@@ -9,7 +9,7 @@ from ledgerline.metadata.lookup import metadata_diffs
 from ledgerline.metadata.schemas import FIELDS, LINKS, OBJECTS, Metadata, conform
 from ledgerline.operators.dedup import distinct_rows, latest_rows, one_per_key
 from ledgerline.operators.filters import drop_deletions
-from ledgerline.operators.joins import enrich, upsert
+from ledgerline.operators.joins import upsert
 from ledgerline.operators.sets import changed_names, lineage_union, row_counts, wide_union
 from ledgerline.session import scratch_folder as scratch
 from ledgerline.sources.readers import read_components, read_stream, read_tab_file

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.facts import PARTNERS, RELATIONS, customers_of, products_of, relations_of
+from catalogue.facts import PARTNERS, RELATIONS, customers_of, relations_of
 from catalogue.tables import AS_OF, HORIZONS, ITEMS, items, rfm_sql, spec, table
 from catalogue.time import _rolling_sql
 from ledgerline.functions.dates import months_before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.tables import AS_OF, HORIZONS, ITEMS, items, rfm_sql, spec
+from catalogue.tables import HORIZONS, ITEMS, items, rfm_sql, spec
 from ledgerline.functions.exact import exact_sum
 from ledgerline.operators.joins import attach_totals
 from ledgerline.operators.pareto import abc_classification

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from ledgerline.metadata import DISCOVERY, dictionary, flat_catalogue, json_catalogue, suite_catalogue, system_catalogue
 from ledgerline.metadata.lookup import metadata_diffs
 from ledgerline.metadata.schemas import FIELDS, LINKS, OBJECTS, Metadata
@@ -216,4 +214,3 @@ def test_metadata_diffs(spark, rows):
     names = spark.createDataFrame([("T",), ("U",), ("V",)], "table_name string")
     assert rows(metadata_diffs(names, meta("a", "x"), meta("a", "x"))) == [("T", False), ("U", False), ("V", False)]
     assert rows(metadata_diffs(names, meta("b", "x"), meta("a", "y"))) == [("T", True), ("U", True), ("V", False)]
-    assert F is not None
