@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import chat_format, exact_dedup, mixing
+from ledgerline.llm import chat_format, exact_dedup, minhash, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,34 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 75 * (x.n + y.n - k)
+), reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.seen FROM reach r JOIN links l ON l.a = r.node
+), least AS (SELECT node, min(seen) AS c FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, c = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.node = d.doc_id
+"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -96,6 +124,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
+    "op2_minhash_dedup": (op2_minhash_dedup, OP2_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_mix_sources": (op6_mix_sources, None),
 }
