@@ -33,7 +33,7 @@ from ledgerline.session import settled
 
 BLOCKS = 1024  # per source and level
 _BITS = BLOCKS.bit_length() - 1
-FILL = 32  # documents after the border that may fill what is left
+FILL = 256  # documents behind the border among which the rest is filled up
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -132,13 +132,13 @@ def _plan(sized: DataFrame, weights: Sequence[float], share: float, most: float)
             if block < BLOCKS and found[block][1] > 1 and (level + 2) * _BITS <= 60:
                 still.append(s)
                 continue
-            seen, end = 0, block + 1
+            seen, end = 0, block
             while end < BLOCKS and seen + found.get(end, (0, 0))[1] <= FILL:
                 seen += found.get(end, (0, 0))[1]
                 end += 1
             if seen:
                 digit = _digits(F.col("order"), level)
-                near = _in_block(F.col("order"), above) & (digit > block) & (digit < end)
+                near = _in_block(F.col("order"), above) & (digit >= block) & (digit < end)
                 behind.append(_same(F.col("source"), s) & near)
         inside, level = {}, level + 1
         if still:
@@ -150,10 +150,16 @@ def _plan(sized: DataFrame, weights: Sequence[float], share: float, most: float)
 
     if behind:
         found = narrow.where(_any(behind)).groupBy("source", "order").agg(F.sum("size").alias("size"))
-        for r in sorted(found.collect(), key=lambda r: r["order"] % 2**64):
+        found = found.collect()
+        for r in sorted(found, key=lambda r: (-r["size"], r["order"])):
             if 0 < r["size"] <= rest[r["source"]]:
                 rest[r["source"]] -= r["size"]
                 fill[r["source"]].append(r["order"])
+        # one more where going over is nearer to the target than staying below
+        for r in sorted(found, key=lambda r: (r["size"], r["order"])):
+            if r["order"] not in fill[r["source"]] and 0 < r["size"] < 2 * rest[r["source"]]:
+                rest[r["source"]] -= r["size"]
+                fill[r["source"]].append(r["order"])
     plans = [
         SourcePlan(s, z, t, p, border.get(s, ()), tuple(fill[s]))
         for s, z, t, p in zip(sources, sizes, aims, passes, strict=True)
@@ -256,10 +262,13 @@ def plan_mix(
     )
     copies = F.coalesce(F.col("copies"), F.lit(0))
     # a document that fills up behind the border comes without its block
-    own = F.transform("m_shards", lambda x: F.coalesce(x, F.pmod("order", F.lit(shards)).cast("int")))
+    own = F.transform(
+        F.sequence(F.lit(0), copies - 1),
+        lambda k: F.coalesce(F.get("m_shards", k), F.pmod("order", F.lit(shards)).cast("int")),
+    )
     return placed.select(
         "row", "id", "source", "size", "source_size", "target", "order",
-        F.when((copies > 0) & (F.col("size") > 0), F.slice(own, F.lit(1), copies))
+        F.when((copies > 0) & (F.col("size") > 0), own)
         .otherwise(F.array().cast("array<int>")).alias("shards"),
     )
 
