@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import chat_format, exact_dedup, minhash, mixing
+from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, minhash, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,9 +122,50 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embedding_dedup.near_vectors(vectors)
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(node, seen) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.seen FROM reach r JOIN links l ON l.a = r.node
+), least AS (SELECT node, min(seen) AS c FROM reach GROUP BY node
+), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, c = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id JOIN least ON node = vec_id
+"""
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decoded(bpe.encoded(docs, ranks, public_tokenizers.PATTERN), ranks)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return both.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        _sha256(ids).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_minhash_dedup": (op2_minhash_dedup, OP2_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_mix_sources": (op6_mix_sources, None),
+    "op8_embedding_dedup": (op8_embedding_dedup, OP8_SQL),
+    "op10_byte_bpe": (op10_byte_bpe, None),
 }
