@@ -30,7 +30,8 @@ def _split(df: DataFrame, keys: list[str]) -> DataFrame:
     repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     # written down, so that numbers stay the same when a task is run again
     numbered = settled(repeated.withColumn("next", F.monotonically_increasing_id()))
-    return df.join(numbered, keys, "left")
+    # the same plan at every size: texts are shuffled once, never kept back by a broadcast
+    return df.join(numbered.hint("merge"), keys, "left")
 
 
 def _partitioned(
@@ -85,10 +86,13 @@ def _partitioned(
 
 def _judged(docs: DataFrame, id_column: str, text_column: str, keep_text: bool):
     singles, groups = _partitioned(docs, id_column, text_column, keep_text)
-    verdicts = groups.groupBy("round", "gid").agg(
-        F.max("id").alias("keep_id"), F.count("*").alias("group_size")
+    # a plain table again, so that adaptive execution can split the join at a hot group
+    verdicts = settled(
+        groups.groupBy("round", "gid").agg(
+            F.max("id").alias("keep_id"), F.count("*").alias("group_size")
+        )
     )
-    return singles, groups.join(verdicts, ["round", "gid"], "left")
+    return singles, groups.join(verdicts.hint("merge"), ["round", "gid"], "left")
 
 
 def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
