@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, minhash, mixing
+from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, minhash, mixing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,13 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.node = d.doc
 """
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    told = toxicity.scored(docs, model)
+    return told.select("doc_id", "severity", "grade", "toxic", (~F.col("toxic")).alias("kept"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -164,6 +171,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_minhash_dedup": (op2_minhash_dedup, OP2_SQL),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_mix_sources": (op6_mix_sources, None),
     "op8_embedding_dedup": (op8_embedding_dedup, OP8_SQL),
