@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,19 @@ def local_session(cpus: int | str = 8, app: str = "ledgerline", memory: str = "8
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerline_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="ledgerline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch it until then
+    shutil.copytree(package, f"{folder}/src/ledgerline", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/ledgerline-package", "zip", f"{folder}/src"))
+    context._ledgerline_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without ever picking a machine-local folder on a cluster.
 
