@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, minhash, mixing, toxicity
+from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, minhash, mixing, toxicity
+from ledgerline.session import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -98,6 +100,16 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.node = d.doc
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    model = langid.fit(docs.where(~held_out))
+    told = langid.identified(docs.select("doc_id", "text"), model)
+    return told.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -171,6 +183,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_minhash_dedup": (op2_minhash_dedup, OP2_SQL),
+    "op3_language_id": (op3_language_id, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_mix_sources": (op6_mix_sources, None),
