@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, minhash, mixing, toxicity
-from ledgerline.session import ship_package
+from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, minhash, mixing, toxicity, warc
+from ledgerline.session import settled, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,6 +141,28 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    index = warc.write_archives(pages)
+    read = settled(
+        warc.read_records(index.select("file", "offset", "length")).select(
+            "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("bytes")
+        )
+    )
+    # a revisit's payload is that of the response it names
+    responses = read.where("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), F.col("bytes").alias("referred")
+    )
+    responses = settled(responses.where("refers_to is not null").groupBy("refers_to").agg(F.max("referred").alias("referred")))
+    return read.join(responses.hint("merge"), "refers_to", "left").select(
+        "page_id",
+        F.when(F.col("record_type") == "revisit", F.col("referred")).otherwise(F.col("bytes")).alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return embedding_dedup.near_vectors(vectors)
@@ -187,6 +209,7 @@ QUERIES = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_mix_sources": (op6_mix_sources, None),
+    "op7_warc": (op7_warc, None),
     "op8_embedding_dedup": (op8_embedding_dedup, OP8_SQL),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
