@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, minhash, mixing, toxicity, warc
+from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, line_dedup, minhash, mixing, toxicity, warc
 from ledgerline.session import settled, ship_package
 
 
@@ -187,6 +187,10 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id JOIN least ON node = vec_id
 """
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -211,5 +215,6 @@ QUERIES = {
     "op6_mix_sources": (op6_mix_sources, None),
     "op7_warc": (op7_warc, None),
     "op8_embedding_dedup": (op8_embedding_dedup, OP8_SQL),
+    "op9_line_dedup": (op9_line_dedup, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
