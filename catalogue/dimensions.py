@@ -323,7 +323,7 @@ def _series(level_name: str, filter_id: str):
     def build(spark, sf):
         source = items(spark, sf, since=months_before(AS_OF, 6))
         daily = series_pre_aggregate(source, _KEYS, AS_OF, prune=False)
-        return series_metrics(daily, level, filter_id, row_filters()[filter_id])
+        return series_metrics(daily, level, filter_id, row_filters()[filter_id], scale=4)
 
     condition = {"all": "true", "pd_only": "NOT specialty_flag", "spd_only": "specialty_flag"}[filter_id]
     keys = ", ".join(level.keys)

@@ -66,7 +66,7 @@ def ts_rolling_30_90(spark, sf):
     daily = items(spark, sf).groupBy("product_key", "billing_date").agg(
         exact_sum("sales_value").alias("sales_value")
     )
-    return rolling_trend(daily, ["product_key"], "billing_date", "sales_value")
+    return rolling_trend(daily, ["product_key"], "billing_date", "sales_value", scale=4)
 
 
 def _rolling_sql(daily: str, key: str) -> str:
@@ -173,7 +173,7 @@ def trend_islands(spark, sf):
     daily = items(spark, sf).groupBy("manufacturer_key", "billing_date").agg(
         exact_sum("sales_value").alias("sales_value")
     )
-    trend = rolling_trend(daily, ["manufacturer_key"], "billing_date", "sales_value")
+    trend = rolling_trend(daily, ["manufacturer_key"], "billing_date", "sales_value", scale=4)
     change = "percentage_diff_of_30_vs_90_day_rolling_avg_of_total_sales_value_of_past_30_days"
     flagged = trend.withColumn("dropping", F.col(change) < -0.1)
     return change_intervals(flagged, ["manufacturer_key"], "billing_date", "dropping", [change])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.functions.exact import from_units, total_units
+from ledgerline.functions.exact import add_totals, from_units, total_units
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import attach_totals
 from ledgerline.operators.running import Order, running_totals
@@ -65,13 +65,15 @@ def abc_classification(
         whole = from_units(total, scale)
         return F.try_divide(whole, F.col(count)) if mean else whole
 
-    sums = [F.sum("__sum").alias("__sum"), F.sum("__count").alias("__count")]
+    sums = [add_totals("__sum").alias("__sum"), F.sum("__count").alias("__count")]
     groups = settled(
         df.groupBy(*[quoted(c) for c in partition + group]).agg(
             total_units(quoted(metric), scale).alias("__sum"),
             F.count(quoted(metric)).alias("__count"),
         )
     )
+    # running sums in decimals only where no total has more of them
+    digits = scale if groups.agg(F.bool_and("__sum.exact")).first()[0] else None
     blocks = groups.groupBy(*[quoted(c) for c in partition]).agg(*sums)
     dataset = blocks.agg(*sums).select(figure("__sum", "__count").alias("dataset_value"))
 
@@ -87,7 +89,7 @@ def abc_classification(
             tie_break=[Order(c) for c in ties],
             sums={"__running": value, "__seen": "__one"},
             rank=f"{level}_rank",
-            scale=scale,
+            scale=digits,
         )
         running = F.col("__running")
         return run.withColumn(

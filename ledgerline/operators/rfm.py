@@ -15,7 +15,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.dates import day, months_before
-from ledgerline.functions.exact import from_units, total_units
+from ledgerline.functions.exact import add_totals, from_units, total_units
 from ledgerline.functions.keys import pair_key
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.joins import null_safe_left_join
@@ -191,7 +191,7 @@ def horizon_metrics(banded: DataFrame, name: str, spec: RfmSpec) -> DataFrame:
         aggregates += [
             F.min(only("first_date")).alias(f"{h.alias}|first"),
             F.max(only("last_date")).alias(f"{h.alias}|last"),
-            *[F.sum(only(m)).alias(f"{h.alias}|{m}") for m in ("value", "specialty_value", "units")],
+            *[add_totals(only(m)).alias(f"{h.alias}|{m}") for m in ("value", "specialty_value", "units")],
             *[
                 (F.sum(only(m)) if spec.exact else F.hll_union_agg(only(m))).alias(f"{h.alias}|{m}")
                 for m in members

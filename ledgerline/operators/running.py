@@ -62,7 +62,7 @@ def running_totals(
     )
 
     def addend(column: str) -> Column:
-        return quoted(column) if scale is None else quoted(column).cast(f"decimal(28,{scale})")
+        return quoted(column) if scale is None else quoted(column).cast(f"decimal(38,{scale})")
 
     in_range = Window.partitionBy(*keys, _RANGE)
     up_to_peers = in_range.orderBy(*[o.expression() for o in peers]).rangeBetween(

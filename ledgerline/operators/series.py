@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ledgerline.functions.exact import exact_sum, from_units, total_units
+from ledgerline.functions.exact import add_totals, exact_sum, from_units, total_units
 from ledgerline.functions.keys import pair_key
 from ledgerline.operators.columns import quoted
 
@@ -145,7 +145,7 @@ def daily_series(
         base = base.unionByName(counted, allowMissingColumns=True)
     counts = [f"{m}_count" for m in members] + [f"__new_{m}" for m in members if m in cumulative]
     daily = base.groupBy(*columns).agg(
-        *[from_units(F.sum(quoted(s)), scale).alias(s) for s in sums],
+        *[from_units(add_totals(quoted(s)), scale).alias(s) for s in sums],
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts],
     )
     ordered = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(quoted(date))
@@ -183,20 +183,24 @@ def cumulative_sets(df: DataFrame, keys: Sequence[str], date: str, column: str,
 
 
 def rolling_trend(
-    daily: DataFrame, keys: Sequence[str], date: str, value: str, scale: int = 4
+    daily: DataFrame, keys: Sequence[str], date: str, value: str, scale: int | None = None
 ) -> DataFrame:
     """Trailing 30-day total, 30- and 90-day averages, and the difference of the two.
 
-    Frames are calendar ranges that include the current day.  Averages are taken as a rounded
-    sum over a count, so they do not depend on the order of addition.
+    Frames are calendar ranges that include the current day.  With ``scale`` the sums over the
+    frames are rounded to so many decimals, for values known to have no more than that.
     """
     position = F.unix_date(quoted(date).cast("date"))
     ordered = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(position)
     short = ordered.rangeBetween(-SHORT_DAYS, Window.currentRow)
     long = ordered.rangeBetween(-LONG_DAYS, Window.currentRow)
 
+    def summed(column: str, window) -> Column:
+        total = F.sum(quoted(column)).over(window)
+        return total if scale is None else F.round(total, scale)
+
     def mean(column: str, window) -> Column:
-        total = F.round(F.sum(quoted(column)).over(window), scale)
+        total = summed(column, window)
         return F.try_divide(total, F.count(quoted(column)).over(window))
 
     past = f"total_{value}_of_past_30_days"
@@ -206,7 +210,7 @@ def rolling_trend(
     return (
         daily.withColumns(
             {
-                past: F.round(F.sum(quoted(value)).over(short), scale),
+                past: summed(value, short),
                 f"rolling_30_day_avg_of_daily_{value}": mean(value, short),
                 f"rolling_90_day_avg_of_daily_{value}": mean(value, long),
             }

@@ -98,9 +98,16 @@ def series_pre_aggregate(
 
 
 def series_metrics(
-    pre_aggregate: DataFrame, level: Level, filter_id: str = "all", predicates: Sequence[Column] = ()
+    pre_aggregate: DataFrame,
+    level: Level,
+    filter_id: str = "all",
+    predicates: Sequence[Column] = (),
+    scale: int | None = None,
 ) -> DataFrame:
-    """Daily figures, cumulative distinct members and rolling trends of one level and filter."""
+    """Daily figures, cumulative distinct members and rolling trends of one level and filter.
+
+    ``scale`` as in :func:`rolling_trend`.
+    """
     daily = daily_series(
         where_all(pre_aggregate, list(predicates)),
         list(level.keys),
@@ -109,7 +116,7 @@ def series_metrics(
         {m: f"{m}_set" for m in level.members},
         level.cumulative,
     )
-    daily = rolling_trend(daily, list(level.keys), "billing_date", "sales_value")
+    daily = rolling_trend(daily, list(level.keys), "billing_date", "sales_value", scale=scale)
     day = F.col("billing_date").cast("timestamp_ntz")
     return (
         daily.withColumns(
@@ -128,12 +135,17 @@ def series_metrics(
 
 
 def all_series(
-    pre_aggregate: DataFrame, levels: Sequence[Level] = LEVELS, flag: str = "specialty_flag"
+    pre_aggregate: DataFrame,
+    levels: Sequence[Level] = LEVELS,
+    flag: str = "specialty_flag",
+    scale: int | None = None,
 ) -> dict[str, DataFrame]:
     """Every series table, called after its level and filter."""
     predicates = row_filters(flag)
     return {
-        f"{level.group_type}__{name}": series_metrics(pre_aggregate, level, name, predicates[name])
+        f"{level.group_type}__{name}": series_metrics(
+            pre_aggregate, level, name, predicates[name], scale
+        )
         for level in levels
         for name in level.filters
     }

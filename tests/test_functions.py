@@ -186,3 +186,12 @@ def test_exact_sum_is_exact(spark):
     big = spark.createDataFrame([(9e13,), (0.0001,), (-9e13,)], "v double")
     assert big.agg(exact_sum("v")).first()[0] == 0.0001
     assert spark.createDataFrame([(None,)], "v double").agg(exact_sum("v")).first()[0] is None
+
+
+def test_exact_sum_rounds_no_value(spark):
+    for values in ([0.00004, 0.00004, 1.0], [1e15, 0.5], [1e300, 1.0], [0.1, 0.123456789]):
+        got = spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum("v")).first()[0]
+        assert got == pytest.approx(sum(values), rel=1e-15)
+    for odd in (float("nan"), float("inf")):
+        got = spark.createDataFrame([(odd,), (1.0,)], "v double").agg(exact_sum("v")).first()[0]
+        assert got == odd or (got != got and odd != odd)

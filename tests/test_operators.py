@@ -456,3 +456,22 @@ def test_schema_report(spark):
     assert same is df and quality.schema_matches(same)
     drift = quality.with_schema_report(df, ["a"])
     assert drift.first()["engine_schema_mismatch"].endswith("b, hx") and not quality.schema_matches(drift)
+
+
+def test_fine_metrics_are_not_rounded_away(spark):
+    from ledgerline.operators.blocks import BlockColumns, summarise_blocks
+    from ledgerline.operators.pareto import abc_classification
+
+    df = spark.createDataFrame([("p", "a", 0.00003), ("p", "b", 0.00002), ("p", "c", 0.00001)], "p string, g string, m double")
+    got = {r["g"]: r for r in abc_classification(df, "m", ["g"], ["p"]).collect()}
+    assert got["a"]["group_value"] == pytest.approx(0.00003) and got["a"]["group_share"] == pytest.approx(0.5)
+    assert [got[g]["group_rank"] for g in "abc"] == [1, 2, 3]
+
+    daily = spark.createDataFrame([("k", dt.date(2024, 1, 1), 0.00004)], "k string, d date, v double")
+    trend = series.rolling_trend(daily, ["k"], "d", "v").first()
+    assert trend["total_v_of_past_30_days"] == 0.00004
+
+    rows = [("b", "p", str(i), dt.date(2024, 1, 1), 1.0, 0.00004, "c", "q", 1) for i in range(4)]
+    c = BlockColumns()
+    labelled = spark.createDataFrame(rows, f"relative_size_transaction_block_id string, p string, {c.item_key} string, {c.billing_date} date, {c.sales_value} double, {c.unit_price} double, {c.customer} string, {c.product} string, items long")
+    assert summarise_blocks(labelled, ["p"], "relative").first()["avg_unit_price"] == pytest.approx(0.00004)
