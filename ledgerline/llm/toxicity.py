@@ -13,9 +13,9 @@ words neither excuse a document nor add up in a long one.
 The labels say toxic or not; ``graded`` makes ordered grades of them: a toxic document's grade
 follows how many of these features it holds.  A column of grades is used as it is if named.
 
-The fit takes a sample of at most about ``SAMPLE`` labelled documents of each label, chosen by a
-hash of their id; the sample's feature lists, not its texts, reach the driver, so their number is
-bounded by that parameter.  Scoring covers every document and whole texts.
+The fit takes a sample of about ``SAMPLE`` labelled documents at most, chosen by a hash of their
+id; the sample's feature lists, not its texts, reach the driver, so their number is bounded by
+that parameter.  Scoring covers every document and whole texts.
 
 Defined results: a null or empty text has no features and severity of the intercept alone, it is
 never rejected; null labels are not learned from; without labels, or with one label only, nothing
@@ -40,7 +40,7 @@ from ledgerline.operators.columns import quoted
 
 BITS = 18
 STEMS = (4, 5, 6, 7, 8)
-SAMPLE = 10_000  # labelled documents per label in the fit
+SAMPLE = 15_000  # labelled documents in the fit
 TELLING = 0.5
 SURE = 2.5  # standard errors of the Wilson bound
 GRADES = (1, 10, 24)  # telling features that make grades 1, 2 and 3
@@ -166,15 +166,14 @@ def fit(
     told = labels.select(
         quoted(id_column).alias("id"), quoted(grade_column or toxic_column).cast("int").alias("grade")
     ).where("id is not null and grade is not null")
-    # a bounded share of each label, chosen by the id alone
-    counts = {r["grade"]: r["count"] for r in told.groupBy("grade").count().collect()}
-    part = F.lit(1.0)
-    for grade, n in counts.items():
-        part = F.when(F.col("grade") == grade, min(1.0, sample / n)).otherwise(part)
-    draw = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 30)) < part * (1 << 30)
+    # a bounded share of them, chosen by the id alone
+    share = min(1.0, sample / max(1, told.count()))
+    draw = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     chosen = told.where(draw).groupBy("id").agg(F.max("grade").alias("grade"))
     texts = docs.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"))
-    rows = texts.join(chosen, "id").select("grade", "text").mapInArrow(_slots, "grade int, slots array<int>")
+    # the ids are bounded by the sample, whatever the data; texts stay where they are
+    known = texts.join(F.broadcast(chosen), "id").select("grade", "text")
+    rows = known.mapInArrow(_slots, "grade int, slots array<int>")
     found = rows.toArrow()
     # in a fixed order, so that a fit does not depend on the order of tasks
     pairs = sorted(
