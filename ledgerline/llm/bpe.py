@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding as a reduction over a tree.
 
 A text is halved recursively at places where the split pattern always separates (a blank after
-something that is not blank), so the token lists of the halves are simply joined.  Each match of
-the pattern is encoded by itself: a long one is halved again, byte-wise, and there the lists of
-two neighbours cannot just be joined, since merges may cross the border.  They are joined by
+something that is not blank), so the token lists of the halves are simply joined; leaves of at
+most ``LEAF`` characters go to the tokenizer library.  Where a text has no such place for longer
+than that, each match of the pattern is halved byte-wise, and there the lists of two neighbours
+cannot just be joined, since merges may cross the border.  They are joined by
 encoding a window around the border anew and letting it grow until the tokens outside are
 settled: a list of tokens is the encoding of its bytes if and only if every two neighbours in
 it are the encoding of their own bytes, so it suffices that the outermost tokens of the window
 and their neighbours outside pass that test.  The join is associative and the empty list is its
 neutral element.  Decoding joins the bytes of the tokens up the tree.
 
-Texts are spread by Spark; a task holds one batch and a bounded store of known words.
+Texts are spread by Spark; a task holds one batch and a bounded store of tested pairs.
 
 Defined results: a null text counts as empty and has no tokens; special tokens are ordinary text;
 repeated rows are encoded each; unknown or null ids raise an error on decoding, a null list
@@ -23,19 +24,20 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-LEAF = 4096  # characters of a text encoded at once
-WORD_LEAF = 32  # bytes of a match encoded by plain merging
-KNOWN = 300_000  # words a task remembers
+LEAF = 4096  # characters of a text that the tokenizer library encodes at once
+WORD_LEAF = 32  # bytes of a long match encoded by plain merging
+LONG = 128  # bytes from which plain merging keeps its candidates in a heap
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,17 +51,16 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pattern = regex.compile(pattern)
+        self.pattern = pattern
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.never = len(ranks) + max(ranks.values(), default=0) + 1  # above every rank
-        self.known: dict[str, tuple[int, ...]] = {}
         self.fits = lru_cache(maxsize=200_000)(self._fits)
 
     # --- bytes of one match -------------------------------------------------------------
 
     def merged(self, piece: bytes) -> list[int]:
         """Plain merging: the pair of lowest rank first, the leftmost of equals."""
-        if len(piece) > 4 * WORD_LEAF:
+        if len(piece) > LONG:
             return self._merged_by_heap(piece)
         get, never = self.ranks.get, self.never
         cuts = list(range(len(piece) + 1))
@@ -129,28 +130,23 @@ class Codec:
         middle = len(piece) // 2
         return self.joined(self.encode_piece(piece[:middle]), self.encode_piece(piece[middle:]))
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.encode_piece(word.encode("utf-8")))
-        if len(word) <= 64:
-            if len(self.known) >= KNOWN:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
-
     # --- texts ----------------------------------------------------------------------------
 
-    def _leaf(self, text: str) -> list[int]:
-        known, word = self.known, self._word
-        return list(chain.from_iterable([known.get(w) or word(w) for w in self.pattern.findall(text)]))
+    @cached_property
+    def library(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding(
+            "leaves", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}
+        )
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         if len(text) <= LEAF:
-            return self._leaf(text)
+            return self.library.encode_ordinary(text)
         cut = self._border(text)
         if cut is None:  # one unbroken run of characters: its matches are halved byte-wise
-            return self._leaf(text)
+            found = regex.findall(self.pattern, text)
+            return list(chain.from_iterable(self.encode_piece(w.encode("utf-8")) for w in found))
         left = self.encode(text[:cut])
         left.extend(self.encode(text[cut:]))
         return left
@@ -179,7 +175,7 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def _codec(shared, name: str, pattern: str) -> Codec:
-    """One codec per Python worker and vocabulary; its store of words serves all tasks there."""
+    """One codec per Python worker and vocabulary."""
     if (name, pattern) not in _CODECS:
         _CODECS[name, pattern] = Codec(shared.value, pattern)
     return _CODECS[name, pattern]
