@@ -219,11 +219,13 @@ def test_components_of_a_random_graph(spark):
 def test_simhash_is_the_majority_of_the_bits(spark):
     rng = random.Random(3)
     rows = [(i, [rng.getrandbits(64) - 2**63 for _ in range(n)]) for i, n in enumerate([1, 2, 3, 15, 16, 63, 64, 255, 256, 700])]
-    got = frame(spark, rows, "i int, h array<long>").select("i", line_dedup.simhash(F.col("h")).alias("x")).collect()
+    words = frame(spark, rows, "i int, h array<long>").select("i", F.explode("h").alias("h"))
+    got = line_dedup.simhashes(words, "i", "h").collect()
+    assert len(got) == len(rows)
     for r in got:
         hashes = rows[r["i"]][1]
-        want = sum(1 << b for b in range(64) if sum((x >> b) & 1 for x in hashes) > len(hashes) // 2)
-        assert r["x"] % 2**64 == want
+        want = sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in hashes) > len(hashes))
+        assert r["simhash"] % 2**64 == want and r["words"] == len(hashes)
 
 
 def test_lines_equal_after_normalising_or_nearly_equal_form_groups(spark):
@@ -257,7 +259,7 @@ def test_lines_equal_after_normalising_or_nearly_equal_form_groups(spark):
 
 def test_similar_lines_are_those_of_brute_force(spark):
     rng = random.Random(8)
-    vocabulary = [f"t{i}" for i in range(3000)]
+    vocabulary = ["".join(w) for w in itertools.product("abcdefghijklmn", repeat=3)]
     lines = []
     for _ in range(12):
         base = [rng.choice(vocabulary) for _ in range(rng.choice([30, 80, 200]))]
@@ -267,8 +269,8 @@ def test_similar_lines_are_those_of_brute_force(spark):
                 text[rng.randrange(len(text))] = rng.choice(vocabulary)
             lines.append(" ".join(text))
     df = frame(spark, list(enumerate(lines)), DOCS)
-    hashes = df.select("doc_id", line_dedup.simhash(F.transform(F.split("text", " "), lambda w: F.xxhash64(w))).alias("s"))
-    sim = {r["doc_id"]: r["s"] % 2**64 for r in hashes.collect()}
+    words = df.select("doc_id", F.explode(F.split("text", " ")).alias("w")).select("doc_id", F.xxhash64("w").alias("h"))
+    sim = {r["doc_id"]: r["simhash"] % 2**64 for r in line_dedup.simhashes(words, "doc_id", "h").collect()}
 
     def edits(a, b):
         row = list(range(len(b) + 1))
