@@ -52,15 +52,15 @@ def expected_value(model: ValueModel, x: Column, mean: Column) -> Column:
 
 
 def _hypergeometric(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """2F1(a, b; c; z) by its series, for |z| < 1."""
+    """2F1(a, b; c; z) by its series, for |z| < 1; an error where it has not converged."""
     term = np.ones_like(z)
     total = np.ones_like(z)
     for n in range(100_000):
         term = term * ((a + n) * (b + n) / ((c + n) * (n + 1))) * z
         total = total + term
         if not np.any(np.abs(term) > 1e-14 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError("the series of the purchase forecast does not converge")
 
 
 def expected_purchases_array(

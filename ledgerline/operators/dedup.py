@@ -41,5 +41,10 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     return df.withColumn("__n", F.row_number().over(window)).filter("__n = 1").drop("__n")
 
 
+def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the first in the order of all other columns, so that reruns agree."""
+    return one_per_key(df, keys, sorted(c for c in df.columns if c not in keys))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()

@@ -16,7 +16,7 @@ from ledgerline.operators.columns import (
     quoted,
     without_shared_columns,
 )
-from ledgerline.operators.dedup import one_per_key
+from ledgerline.operators.dedup import unique
 from ledgerline.operators.filters import genuine_relations, is_member, not_deleted
 from ledgerline.operators.joins import containment_flag, null_safe_left_join, partner_columns
 from ledgerline.operators.rfm import RfmSpec, enrich_with_rfm, label_sets
@@ -72,23 +72,26 @@ def customers(
     sentinel: str | None = None,
     ranks: bool = True,
 ) -> DataFrame:
-    """Customers that are not deleted, with class, geography, territory, partners and metrics."""
-    df = not_deleted(base, "deletion_flag")
-    df = null_safe_left_join(df, classes, [("class_key", "primary_key")])
+    """Customers that are not deleted, with class, geography, territory, partners and metrics.
+
+    Tables with several rows for a key are made unique before they are joined.
+    """
+    df = unique(not_deleted(base, "deletion_flag"), ["primary_key"])
+    df = null_safe_left_join(df, unique(classes, ["primary_key"]), [("class_key", "primary_key")])
     df = df.withColumns(
         {"state_code": F.col("region"), "zip_code": postal_prefix(F.col("postal_code"))}
     )
-    df = null_safe_left_join(df, states, [("state_code", "state_code")])
+    df = null_safe_left_join(df, unique(states, ["state_code"]), [("state_code", "state_code")])
     df = df.withColumn("zip_code_geo_id", pair_key("state_geo_id", "zip_code"))
-    df = null_safe_left_join(df, zips, [("zip_code_geo_id", "zip_code_geo_id")])
-    df = null_safe_left_join(df, territories, [("primary_key", "primary_key")])
+    df = null_safe_left_join(df, unique(zips, ["zip_code_geo_id"]), [("zip_code_geo_id", "zip_code_geo_id")])
+    df = null_safe_left_join(df, unique(territories, ["primary_key"]), [("primary_key", "primary_key")])
     df = with_partners(df, relations, base, "customer_key", sentinel=sentinel)
     roles = {
         "customer": [spec.columns.sold_to],
         "customer_shipto": [spec.columns.ship_to],
         "customer_billto": [spec.columns.bill_to],
     }
-    return one_per_key(measured(df, items, roles, spec, ranks=ranks), ["primary_key"])
+    return measured(df, items, roles, spec, ranks=ranks)
 
 
 def customer_accounts(
@@ -105,16 +108,16 @@ def customer_accounts(
 
     Partner columns are the customer's.
     """
-    df = not_deleted(accounts, "deletion_flag")
+    df = unique(not_deleted(accounts, "deletion_flag"), ["primary_key"])
     extra = [c for c in customer_dimension.columns if c not in accounts.columns]
     df = null_safe_left_join(
         df,
         customer_dimension.select(F.col("primary_key").alias("customer_key"), *[quoted(c) for c in extra]),
         [("customer_key", "customer_key")],
     )
-    df = null_safe_left_join(df, trade_classes, [("trade_class", "trade_class")])
+    df = null_safe_left_join(df, unique(trade_classes, ["trade_class"]), [("trade_class", "trade_class")])
     roles = {"customer_account": [sold_to_account], "customer_account_billto": [bill_to_account]}
-    return one_per_key(measured(df, items, roles, spec, ranks=ranks), ["primary_key"])
+    return measured(df, items, roles, spec, ranks=ranks)
 
 
 def partner_tables(

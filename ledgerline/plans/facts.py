@@ -112,6 +112,10 @@ def raw_invoices(
     Filters run before the joins they do not need; orders of an excluded type and service
     products are removed by anti-join.
     """
+    named = {*rules.keep, *rules.exclude, *rules.exclude_prefix}
+    if unknown := named - {*items.columns, *headers.columns}:
+        raise ValueError(f"rules name columns of neither table: {sorted(unknown)}")
+
     def part(names: dict, table: DataFrame) -> dict:
         return {c: v for c, v in names.items() if c in table.columns}
 
