@@ -40,6 +40,7 @@ WORDS = 5
 BINS = 128
 ROWS = 4
 SIMILARITY = 75  # percent
+KNOWN = 60_000  # words whose hashes a task remembers
 BITS_APART = 70
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,7 +65,7 @@ def shingle_set(text: bytes | None, words: int = WORDS, known: dict | None = Non
         if h is None:
             h = known[t] = xxhash.xxh64_intdigest(t)
         hashes.append(h)
-    if len(known) > 500_000:
+    if len(known) > KNOWN:
         known.clear()
     h = np.array(hashes, dtype=np.uint64)
     n = max(1, len(h) - words + 1)

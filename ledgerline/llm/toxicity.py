@@ -44,6 +44,7 @@ SAMPLE = 15_000  # labelled documents in the fit
 TELLING = 0.5
 SURE = 2.5  # standard errors of the Wilson bound
 GRADES = (1, 10, 24)  # telling features that make grades 1, 2 and 3
+KNOWN = 60_000  # words whose slots a task remembers
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -59,7 +60,7 @@ def features(text: str | None, known: dict[str, tuple[int, ...]]) -> np.ndarray:
             # marked, so that a stem and a word do not share a hash
             parts = (*("^" + word[:n] for n in STEMS if n < len(word)), "^" + word, word)
             slots = tuple(xxhash.xxh64_intdigest(p) >> (64 - BITS) for p in parts)
-            if len(known) >= 300_000:
+            if len(known) >= KNOWN:
                 known.clear()
             known[word] = slots
         out.update(slots)
