@@ -65,7 +65,7 @@ def events_tumbling(spark, sf):
 
 
 def events_tumbling_stream(spark, sf):
-    """The same windows from a stream; each batch replaces the table of all windows so far."""
+    """The windows that the stream's watermark has closed; each is written once."""
     folder = scratch(spark)
     schema = table(spark, sf, "events").schema
     stream = read_stream(spark, f"{sf}/events.parquet*", schema).withColumn(
@@ -73,18 +73,19 @@ def events_tumbling_stream(spark, sf):
     )
     totals = tumbling_totals(stream, "ts", "value", ["event_type"], "6 hours", lateness="1 hour")
 
-    def replace(batch, _number):
-        full_refresh(batch, f"{folder}/windows")
+    def append(batch, number):
+        # a batch that is run again replaces its own rows
+        full_refresh(batch, f"{folder}/windows/batch={number}")
 
     query = (
-        totals.writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        totals.writeStream.outputMode("append")
+        .foreachBatch(append)
         .option("checkpointLocation", f"{folder}/offsets")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    windows = spark.read.parquet(f"{folder}/windows")
+    windows = spark.read.parquet(f"{folder}/windows").drop("batch")
     return windows.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
     )
@@ -246,7 +247,11 @@ QUERIES = {
     "changelog_upsert": (changelog_upsert, _LATEST),
     "changelog_stream": (changelog_stream, f"SELECT * FROM ({_LATEST}) WHERE mode <> 'D'"),
     "events_tumbling": (events_tumbling, _TUMBLING),
-    "events_tumbling_stream": (events_tumbling_stream, _TUMBLING),
+    "events_tumbling_stream": (
+        events_tumbling_stream,
+        f"""SELECT * FROM ({_TUMBLING})
+        WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 1 HOUR FROM events)""",
+    ),
     "changed_lookup_rows": (
         changed_lookup_rows,
         """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey
