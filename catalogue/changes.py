@@ -49,10 +49,15 @@ def changelog_upsert(spark, sf):
 
 
 def changelog_stream(spark, sf):
-    """The change log as a stream of files, folded into state by micro-batches."""
+    """The change log as a stream of files, folded into state by micro-batches.
+
+    The events arrive in four batches that each hold changes of the whole time, so that later
+    batches bring records older than the state.
+    """
     folder = scratch(spark)
-    schema = table(spark, sf, "events").schema
-    stream = read_stream(spark, f"{sf}/events.parquet*", schema)
+    events = table(spark, sf, "events")
+    events.repartition(4, "event_id").write.parquet(f"{folder}/events")
+    stream = read_stream(spark, f"{folder}/events", events.schema, files_per_batch=1)
     query = run_changelog(
         changes_of(stream), f"{folder}/state", f"{folder}/offsets", "user_id", ["ts", "event_id"]
     )
