@@ -295,6 +295,26 @@ def test_similar_lines_are_those_of_brute_force(spark):
     assert got == dict(enumerate(comp)) and len(links) > 5
 
 
+def test_every_pair_of_similar_lines_is_linked(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(w) for w in itertools.product("abcdefghijklmn", repeat=3)]
+    common = vocabulary[:12]
+    lines, group = [], []
+    for n in [5, 6, 8, 9, 10, 14, 15, 20, 31, 40, 80, 200] * 3:
+        base = [rng.choice(common if rng.random() < 0.4 else vocabulary) for _ in range(n)]
+        edited = list(base)
+        for at in rng.sample(range(n), n // 5):  # as many edits as 0.8 allows
+            edited[at] = rng.choice(vocabulary) + "x"
+        longer = list(base)
+        for _ in range(n // 4 if n % 4 == 0 else 0):
+            longer.insert(rng.randrange(len(longer) + 1), rng.choice(common))
+        for text in (base, edited, longer):
+            lines.append(" ".join(text))
+            group.append(len(group) // 3 * 3)
+    got = {r["doc_id"]: r["keep_id"] for r in line_dedup.line_groups(frame(spark, list(enumerate(lines)), DOCS)).collect()}
+    assert got == dict(enumerate(group))
+
+
 def test_documents_without_near_lines(spark):
     rows = [(1, "one line here\nanother one"), (2, "One line, here!\nits own line"), (3, "another one")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_near_lines(frame(spark, rows, DOCS)).collect()}
