@@ -3,8 +3,9 @@
 Every source is cut into blocks of documents by a seeded hash, which puts its documents into a
 random but repeatable order.  A source's target is met by whole passes over all its blocks plus
 a last pass over the first blocks of that order; the block at the border is cut again and again
-until the border lies between two documents, and a few of the documents after it that still fit
-fill the rest.  The blocks to draw are then shared out among output shards: a splitting tree
+until the border lies at a document that does not fit.  That one is left out and the same descent
+goes on behind it over the documents that still fit, until none is left; of those left out, the
+smallest is added if going over is nearer to the target.  The blocks to draw are then shared out among output shards: a splitting tree
 halves the shards and draws, at each node, how many blocks of each source go left from the
 multivariate hypergeometric distribution, so that all shards have the same number of blocks and
 all quotas are met exactly.  A shard draws that many blocks from the source's permuted blocks,
@@ -33,7 +34,9 @@ from ledgerline.session import settled
 
 BLOCKS = 1024  # per source and level
 _BITS = BLOCKS.bit_length() - 1
-FILL = 256  # documents behind the border among which the rest is filled up
+_DEPTH = 60 // _BITS  # levels
+_END = 1 << (_BITS * _DEPTH)  # places in the order
+ANY = (1 << 63) - 1  # no bound on a document's size
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -65,8 +68,9 @@ class SourcePlan:
     size: int
     target: float
     passes: int  # whole passes
-    border: tuple[int, ...]  # blocks of the last pass, level by level; one digit per level
-    fill: tuple[int, ...]  # order hashes of single documents beyond the border
+    border: tuple[int, ...]  # first document left out of the last pass, one digit per level
+    spans: tuple[tuple[int, int, int], ...]  # places from, to (exclusive), and largest size drawn
+    extra: int | None  # order hash of one document more
 
 
 def _digits(order: Column, level: int) -> Column:
@@ -74,6 +78,11 @@ def _digits(order: Column, level: int) -> Column:
     return F.shiftrightunsigned(order, 64 - _BITS * (level + 1)).bitwiseAND(F.lit(BLOCKS - 1)).cast("int")
 
 
+def _place(order: Column) -> Column:
+    """The digits of all levels as one number."""
+    return F.shiftrightunsigned(order, 64 - _BITS * _DEPTH)
+
+
 def _same(source: Column, value: str | None) -> Column:
     return source.isNull() if value is None else source == value
 
@@ -116,52 +125,66 @@ def _plan(sized: DataFrame, weights: Sequence[float], share: float, most: float)
 
     passes = [min(int(most), int(t // s)) if s else 0 for t, s in zip(aims, sizes, strict=True)]
     rest = {s: t - p * z for s, t, p, z in zip(sources, aims, passes, sizes, strict=True)}
+    spans: dict[str | None, list[tuple[int, int, int]]] = {s: [] for s in sources}
     border: dict[str | None, tuple[int, ...]] = {}
-    fill: dict[str | None, list[int]] = {s: [] for s in sources}
-    behind = []  # conditions of the documents right behind the borders
-    inside = {s: by_source[s] for s in sources if rest[s] > 0}
-    level = 0
-    while inside:
-        still = []
-        for s, found in inside.items():
-            block, above = 0, border.get(s, ())
-            while block < BLOCKS and found.get(block, (0, 0))[0] <= rest[s]:
-                rest[s] -= found.get(block, (0, 0))[0]
-                block += 1
-            border[s] = (*above, block)
-            if block < BLOCKS and found[block][1] > 1 and (level + 2) * _BITS <= 60:
-                still.append(s)
-                continue
-            seen, end = 0, block
-            while end < BLOCKS and seen + found.get(end, (0, 0))[1] <= FILL:
-                seen += found.get(end, (0, 0))[1]
-                end += 1
-            if seen:
-                digit = _digits(F.col("order"), level)
-                near = _in_block(F.col("order"), above) & (digit >= block) & (digit < end)
-                behind.append(_same(F.col("source"), s) & near)
-        inside, level = {}, level + 1
-        if still:
-            at = _any(
-                [_same(F.col("source"), s) & _in_block(F.col("order"), border[s]) for s in still]
-            )
-            for r in _block_sizes(narrow.where(at), level):
-                inside.setdefault(r["source"], {})[r["block"]] = (r["size"], r["n"])
-
-    if behind:
-        found = narrow.where(_any(behind)).groupBy("source", "order").agg(F.sum("size").alias("size"))
-        found = found.collect()
-        for r in sorted(found, key=lambda r: (-r["size"], r["order"])):
-            if 0 < r["size"] <= rest[r["source"]]:
-                rest[r["source"]] -= r["size"]
-                fill[r["source"]].append(r["order"])
-        # one more where going over is nearer to the target than staying below
-        for r in sorted(found, key=lambda r: (r["size"], r["order"])):
-            if r["order"] not in fill[r["source"]] and 0 < r["size"] < 2 * rest[r["source"]]:
-                rest[r["source"]] -= r["size"]
-                fill[r["source"]].append(r["order"])
+    open_ = {s: (0, ANY) for s in sources if rest[s] > 0}  # next place, largest size that fits
+    ready = by_source
+    while open_:
+        ends = {}
+        path: dict[str | None, tuple[int, ...]] = dict.fromkeys(open_, ())
+        level = 0
+        while path:
+            if ready is None:
+                behind = [
+                    _same(F.col("source"), s) & (_place(F.col("order")) >= open_[s][0])
+                    & (F.col("size") <= open_[s][1]) & (F.col("size") > 0) & _in_block(F.col("order"), at)
+                    for s, at in path.items()
+                ]
+                ready = {}
+                for r in _block_sizes(narrow.where(_any(behind)), level):
+                    ready.setdefault(r["source"], {})[r["block"]] = (r["size"], r["n"])
+            deeper = {}
+            for s, above in path.items():
+                found, block = ready.get(s, {}), 0
+                while block < BLOCKS and found.get(block, (0, 0))[0] <= rest[s]:
+                    rest[s] -= found.get(block, (0, 0))[0]
+                    block += 1
+                at = (*above, block)
+                if block < BLOCKS and found[block][1] > 1 and level + 1 < _DEPTH:
+                    deeper[s] = at
+                else:
+                    ends[s] = at
+            path, level, ready = deeper, level + 1, None
+        going = {}
+        for s, at in ends.items():
+            start, limit = open_[s]
+            width = 1 << (_BITS * (_DEPTH - len(at)))
+            place = 0
+            for digit in at:
+                place = place * BLOCKS + digit
+            place *= width
+            border.setdefault(s, at)
+            spans[s].append((start, place, limit))
+            after = place + (width if at[-1] < BLOCKS else 0)
+            if after < _END and rest[s] >= 1:
+                going[s] = (after, int(rest[s]))
+        open_ = going
+
+    # one more where going over is nearer to the target than staying below
+    left_out = [
+        _same(F.col("source"), s) & (F.col("size") > 0) & (F.col("size") < 2 * rest[s])
+        & ~_any([_in_span(F.col("order"), F.col("size"), *map(F.lit, span)) for span in spans[s]])
+        for s in sources if rest[s] > 0
+    ]
+    extra: dict[str | None, int] = {}
+    if left_out:
+        found = narrow.where(_any(left_out)).groupBy("source", "order").agg(F.sum("size").alias("size"))
+        least = found.groupBy("source").agg(F.min(F.struct("size", "order")).alias("least"))
+        for r in least.collect():
+            if r["least"]["size"] < 2 * rest[r["source"]]:
+                extra[r["source"]] = r["least"]["order"]
     plans = [
-        SourcePlan(s, z, t, p, border.get(s, ()), tuple(fill[s]))
+        SourcePlan(s, z, t, p, border.get(s, ()), tuple(spans[s]), extra.get(s))
         for s, z, t, p in zip(sources, sizes, aims, passes, strict=True)
     ]
     return plans, {s: sorted(by_source[s]) for s in sources}
@@ -174,6 +197,10 @@ def _in_block(order: Column, border: Sequence[int]) -> Column:
     return out
 
 
+def _in_span(order: Column, size: Column, start: Column, end: Column, limit: Column) -> Column:
+    return (_place(order) >= start) & (_place(order) < end) & (size <= limit)
+
+
 def shard_quotas(blocks: Sequence[int], shards: int, seed: int) -> np.ndarray:
     """Splitting tree: blocks per shard and source.
 
@@ -240,20 +267,18 @@ def plan_mix(
     table = spark.createDataFrame(dealt, "m_source string, m_block int, m_shards array<int>")
     about = spark.createDataFrame(
         [
-            (p.source, p.size, float(p.target), p.passes, list(p.border), list(p.fill))
+            (p.source, p.size, float(p.target), p.passes, list(p.spans), p.extra)
             for p in plans
         ],
-        "s_source string, source_size long, target double, passes int, border array<int>, fill array<long>",
+        "s_source string, source_size long, target double, passes int, "
+        "spans array<struct<start:long,end:long,limit:long>>, extra long",
     )
-    # the border is compared digit by digit as a row of numbers
-    levels = max([len(p.border) for p in plans], default=0)
-    before = F.lit(False)
-    for level in reversed(range(levels)):
-        at, digit = F.get("border", F.lit(level)), _digits(F.col("order"), level)
-        before = F.coalesce((digit < at) | ((digit == at) & before), F.lit(False))
+    drawn = F.exists(
+        "spans", lambda x: _in_span(F.col("order"), F.col("size"), x["start"], x["end"], x["limit"])
+    ) | F.col("order").eqNullSafe(F.col("extra"))
     told = sized.join(
         F.broadcast(about), F.col("source").eqNullSafe(F.col("s_source")), "left"
-    ).withColumn("copies", F.col("passes") + (before | F.array_contains("fill", F.col("order"))).cast("int"))
+    ).withColumn("copies", F.col("passes") + drawn.cast("int"))
     placed = told.join(
         F.broadcast(table),
         F.col("source").eqNullSafe(F.col("m_source"))
@@ -261,7 +286,7 @@ def plan_mix(
         "left",
     )
     copies = F.coalesce(F.col("copies"), F.lit(0))
-    # a document that fills up behind the border comes without its block
+    # a document drawn behind the border comes without its block
     own = F.transform(
         F.sequence(F.lit(0), copies - 1),
         lambda k: F.coalesce(F.get("m_shards", k), F.pmod("order", F.lit(shards)).cast("int")),

@@ -171,6 +171,15 @@ def test_mix_meets_its_targets_whole_and_repeatably(spark):
     assert mix.columns == df.columns and mix.count() == sum(len(r["shards"]) for r in plan)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mix_is_filled_up_behind_a_very_long_document(spark, seed):
+    sizes = [1 + i % 5 for i in range(2000)] + [2000 + i for i in range(30)]
+    df = spark.createDataFrame([(i, "a", "w " * n) for i, n in enumerate(sizes)], "doc_id long, source string, text string")
+    plan = mixing.plan_mix(df, weights=(1,), share=0.5, shards=4, seed=seed).collect()
+    assert len(plan) == len(sizes)
+    assert abs(sum(r["size"] * len(r["shards"]) for r in plan) - 0.5 * sum(sizes)) <= 0.5
+
+
 def test_mix_of_an_empty_table_is_empty(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mixing.plan_mix(df).count() == 0 and mixing.mixed(df).count() == 0
