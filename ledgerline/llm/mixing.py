@@ -15,7 +15,8 @@ The driver sees one row per source and block (at most ``BLOCKS`` a source, whate
 the data) and a table of shards; documents are assigned by expressions on their own row, so the
 plan needs no shuffle until the mix itself is dealt out to its shards.
 
-Defined results: null texts have size 0; a null source is a source of its own, last in order;
+Defined results: null texts have size 0 and, like other texts without a word, are drawn with the
+documents around them in the order; a null source is a source of its own, last in order;
 a source of size 0 has target 0 and takes nothing; rows that share id and text are drawn
 together; a null id is hashed as such; an empty table gives an empty mix.  Further columns travel
 inside one struct, so their names cannot clash.
@@ -293,7 +294,7 @@ def plan_mix(
     )
     return placed.select(
         "row", "id", "source", "size", "source_size", "target", "order",
-        F.when((copies > 0) & (F.col("size") > 0), own)
+        F.when(copies > 0, own)
         .otherwise(F.array().cast("array<int>")).alias("shards"),
     )
 

@@ -180,6 +180,13 @@ def test_mix_is_filled_up_behind_a_very_long_document(spark, seed):
     assert abs(sum(r["size"] * len(r["shards"]) for r in plan) - 0.5 * sum(sizes)) <= 0.5
 
 
+def test_documents_without_words_are_drawn_like_others(spark):
+    texts = [None, "", "  "] + ["some words"] * 20
+    df = spark.createDataFrame([(i, "a", t) for i, t in enumerate(texts)], "doc_id long, source string, text string")
+    plan = mixing.plan_mix(df, weights=(1,), share=2, shards=3).collect()
+    assert [len(r["shards"]) for r in plan] == [2] * len(texts)
+
+
 def test_mix_of_an_empty_table_is_empty(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mixing.plan_mix(df).count() == 0 and mixing.mixed(df).count() == 0
