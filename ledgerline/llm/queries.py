@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import bpe, chat_format, embedding_dedup, exact_dedup, langid, line_dedup, minhash, mixing, toxicity, warc
+from ledgerline.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    line_dedup,
+    minhash,
+    mixing,
+    toxicity,
+    url_filter,
+    vector_codes,
+    warc,
+    whitening,
+)
 from ledgerline.session import settled, ship_package
 
 
@@ -206,6 +220,85 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = url_filter.rules("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
+    return url_filter.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), listed)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, books = vector_codes.coded(vectors)
+    digits = F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return vector_codes.label_errors(codes).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+def _op12_sql() -> str:
+    """Lloyd's rounds unrolled."""
+    nearest = """a{k} AS MATERIALIZED (
+  SELECT vec_id, label, part, p, min(struct_pack(d := d, e := entry)) AS near FROM (
+    SELECT vec_id, label, v.part, p, entry,
+      list_sum(list_transform(range(1, len(p) + 1), lambda i: (p[i] - b[i]) * (p[i] - b[i])))::BIGINT AS d
+    FROM v JOIN c{k} USING (part)
+  ) GROUP BY ALL
+)"""
+    moved = """c{n} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.b, c.b) AS b FROM c{k} c LEFT JOIN (
+    SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS b FROM (
+      SELECT part, near.e AS entry, i, sum(p[i])::HUGEINT AS s, count(*) AS n FROM a{k}, range(1, 9) AS t(i)
+      GROUP BY ALL
+    ) GROUP BY ALL
+  ) m USING (part, entry)
+)"""
+    steps = []
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(nearest.format(k=k))
+        if k < vector_codes.ROUNDS:
+            steps.append(moved.format(k=k, n=k + 1))
+    last = vector_codes.ROUNDS
+    return """
+WITH x AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda y: floor(4096 * y::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0
+), v AS MATERIALIZED (
+  SELECT vec_id, label, part, x[8 * part + 1 : 8 * part + 8] AS p FROM x, range(0, 8) AS t(part)
+), c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p AS b FROM v
+  QUALIFY entry < 16
+), %s, ended AS (
+  SELECT vec_id, label, string_agg(printf('%%02x', near.e), '' ORDER BY part) AS code, sum(near.d)::BIGINT AS error
+  FROM a%d GROUP BY vec_id, label
+), books AS (
+  SELECT sha256(string_agg(array_to_string(b, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c%d
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM ended, books
+""" % (", ".join(steps), last, last)
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    done = whitening.whitened(vectors)
+    both = F.arrays_zip("whitened", "explained")
+    return done.select("vec_id", "n", "deviation", "identity_error", F.posexplode(both).alias("at", "c")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_minhash_dedup": (op2_minhash_dedup, OP2_SQL),
@@ -217,4 +310,7 @@ QUERIES = {
     "op8_embedding_dedup": (op8_embedding_dedup, OP8_SQL),
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
+    "op11_url_filter": (op11_url_filter, None),
+    "op12_vector_codes": (op12_vector_codes, OP12_SQL),
+    "op13_whitening": (op13_whitening, None),
 }
