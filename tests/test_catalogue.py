@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from catalogue import registered  # noqa: E402
 from check import bag  # noqa: E402
 
 SMALL = Path("/root/testdata/sf0.001")
@@ -31,7 +32,9 @@ def test_every_query_is_callable_and_sql_belongs_to_a_query():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert all(callable(q) for q in queries.values())
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"forecast_scores"}
+    core = registered()
+    assert set(core) <= set(queries)
+    assert {name for name, (_, text) in core.items() if not text} == {"forecast_scores"}
 
 
 @needs_tables
