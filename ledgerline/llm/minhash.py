@@ -9,9 +9,12 @@ share none of the 32 bands with probability 5e-6).
 Documents with the same set are one class from the start.  In each bucket the classes are
 paired with one of them, the centre, so candidates grow with the members of a bucket and not
 with their pairs; each band elects centres of its own.  Candidates are confirmed on their full
-shingle sets.  A link that no star holds is found afterwards: members that did not end up in
-the component of their bucket's centre are compared with all members of the bucket outside
-their own component, and confirmed alike.  Components are those of all confirmed links.
+shingle sets.  A link that no star holds is found afterwards: members that did not end up in the
+largest component of their bucket are held against the members of other components.  Most such
+pairs are ruled out exactly before they become rows: shingles that no other set holds are never
+common, and what two sets share is at most what both hold of a third set, their bucket's pivot,
+plus what either holds besides.  The few left are confirmed alike.  Components are those of all
+confirmed links.
 
 Shingles are held as 64-bit hashes of their words, sets as sorted arrays of them.
 
@@ -41,7 +44,6 @@ BINS = 128
 ROWS = 4
 SIMILARITY = 75  # percent
 KNOWN = 60_000  # words whose hashes a task remembers
-BITS_APART = 70
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,12 +113,6 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _packed(sig: np.ndarray) -> np.ndarray:
-    """Two bits of every bin."""
-    low = (sig[:, None] >> np.array([7, 13], np.uint64)) & np.uint64(1)
-    return np.packbits(low.astype(np.uint8).ravel()).view(np.int64)
-
-
 def _fingerprint(shingles: np.ndarray) -> bytes:
     return hashlib.md5(shingles.tobytes(), usedforsecurity=False).digest()
 
@@ -124,23 +120,21 @@ def _fingerprint(shingles: np.ndarray) -> bytes:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict = {}
     for batch in batches:
-        counts, nodes, bands, bits = [], [], [], []
+        counts, nodes, bands = [], [], []
         for text in batch.column("text").cast(pa.large_binary()):
             s = shingle_set(text.as_py(), known=known)
             counts.append(len(s))
             nodes.append(_fingerprint(s) if len(s) else None)
-            sig = signature(s) if len(s) else None
-            bands.append(band_keys(sig) if len(s) else None)
-            bits.append(_packed(sig) if len(s) else None)
+            bands.append(band_keys(signature(s)) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
+                batch.column("plain"),
                 pa.array(counts, pa.int64()),
                 pa.array(nodes, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
-                pa.array(bits, pa.list_(pa.int64())),
             ],
-            names=["id", "n", "node", "bands", "bits"],
+            names=["id", "plain", "n", "node", "bands"],
         )
 
 
@@ -161,42 +155,81 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Confirm pairs: 100 times the intersection against the union."""
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the pairs (a, b), those similar enough: 100 times the intersection against the union."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    both = F.size(F.array_intersect("left", "right"))
+    together = F.size("left") + F.size("right")
+    enough = 100 * both >= SIMILARITY * (together - both)
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
+
+
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of the pivot's shingles a set holds, one bit each."""
     for batch in batches:
-        left, right = batch.column("left"), batch.column("right")
-        good = []
-        for i in range(batch.num_rows):
-            x = left[i].values.to_numpy(zero_copy_only=False)
-            y = right[i].values.to_numpy(zero_copy_only=False)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+        masks = []
+        for mine, theirs in zip(batch.column("shingles"), batch.column("pivots"), strict=True):
+            x, y = (c.values.to_numpy(zero_copy_only=False) for c in (mine, theirs))
+            bits = np.zeros(-(-len(y) // 64) * 64, np.uint8)
+            bits[: len(y)] = np.isin(y, x, assume_unique=True)
+            masks.append(np.packbits(bits).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())],
-            names=["a", "b", "good"],
+            [batch.column("node"), batch.column("pivot"), pa.array(masks, pa.list_(pa.int64()))],
+            names=["node", "pivot", "mask"],
         )
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    checked = (
-        pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        .mapInArrow(_shared, "a binary, b binary, good boolean")
-    )
-    return checked.where("good").select("a", "b")
+def _held(mask: Column) -> Column:
+    return F.aggregate(mask, F.lit(0).cast("long"), lambda total, m: total + F.bit_count(m))
 
 
-def _alike(a: Column, n: Column, b: Column, m: Column) -> Column:
-    """Can two signatures be those of similar sets?
+def _apart(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of unlike ``component`` that share a bucket and may be similar enough.
 
-    Bins differ independently once most of them hold a value of their own; then, at similarity
-    0.75, the bits differ in 32 places with a standard deviation of 6.3, and more than
-    ``BITS_APART`` is six deviations away.  Small sets are never ruled out.
+    ``buckets`` has band, key, node, n, component and hub.  What two sets have in common is at
+    most what both hold of a third, the bucket's pivot, plus what either holds besides; shingles
+    that no other set holds are never common.  Both bounds are exact, so no link is lost.
     """
-    apart = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(2 * BINS // 64)), F.lit(0))
-    return (F.least(n, m) < 2 * BINS) | (apart <= BITS_APART)
+    loose = settled(buckets.select("node", "n").distinct())
+    name = F.xxhash64("node").alias("hi"), F.xxhash64("node", F.lit(1)).alias("lo")
+    spread = sets.join(loose.select("node").hint("merge"), "node", "left_semi").select(*name, F.explode("shingles").alias("s"))
+    lone = (
+        spread.groupBy("s").agg(F.count("*").alias("c"), F.min("hi").alias("hi"), F.min("lo").alias("lo"))
+        .where("c = 1").groupBy("hi", "lo").agg(F.count("*").alias("lone"))
+    )
+    known = (
+        loose.select("node", "n", *name).join(settled(lone).hint("merge"), ["hi", "lo"], "left")
+        .select("node", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("common"), "n")
+    )
+    # a set has no partner at all if too little of it is anywhere else
+    able = settled(known.where(100 * F.col("common") >= SIMILARITY * F.col("n")).select("node", "common"))
+    rows = settled(buckets.join(able.hint("merge"), "node"))
+    pivots = rows.groupBy("band", "key").agg(
+        F.min_by("node", F.xxhash64("node")).alias("pivot"),
+        F.min("component").alias("least"), F.max("component").alias("most"),
+    )
+    pivots = settled(pivots.where("least != most").select("band", "key", "pivot"))
+    rows = settled(rows.join(pivots.hint("merge"), ["band", "key"]))
+    mine = sets.select("node", "shingles")
+    theirs = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("pivots"))
+    masks = (
+        rows.select("node", "pivot").distinct().join(mine.hint("merge"), "node").join(theirs.hint("merge"), "pivot")
+        .select("node", "pivot", "shingles", "pivots").mapInArrow(_masks, "node binary, pivot binary, mask array<long>")
+    )
+    told = settled(rows.join(settled(masks).hint("merge"), ["node", "pivot"]).withColumn("held", _held(F.col("mask"))))
+    outside = told.where("component != hub").select(
+        "band", "key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "common", "component", "mask", "held")]
+    )
+    both = _held(F.zip_with("mask", "x_mask", lambda p, q: p.bitwiseAND(q)))
+    besides = F.greatest(F.least(F.col("common") - F.col("held"), F.col("x_common") - F.col("x_held")), F.lit(0))
+    possible = (100 + SIMILARITY) * (both + besides) >= SIMILARITY * (F.col("n") + F.col("x_n"))
+    return (
+        told.join(outside.hint("merge"), ["band", "key"])
+        .where((F.col("component") != F.col("x_component")) & _similar_size(F.col("n"), F.col("x_n")) & possible)
+        .select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b"))
+        .distinct()
+    )
 
 
 def _similar_size(n: Column, m: Column) -> Column:
@@ -205,19 +238,23 @@ def _similar_size(n: Column, m: Column) -> Column:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``."""
-    source = docs.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"))
+    source = docs.select(
+        quoted(id_column).alias("id"),
+        quoted(text_column).alias("text"),
+        # tells apart the texts of rows that share an id, or have none
+        F.xxhash64(quoted(text_column)).alias("plain"),
+    )
     sketches = settled(
         source.mapInArrow(
             _sketches,
-            f"id {docs.schema[id_column].dataType.simpleString()}, n long, node binary, "
-            "bands array<long>, bits array<long>",
+            f"id {docs.schema[id_column].dataType.simpleString()}, plain long, n long, node binary, bands array<long>",
         )
     )
     # one row per class of equal sets
     classes = settled(
         sketches.where("node is not null")
         .groupBy("node")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+        .agg(F.min(F.struct("id", "plain")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     )
     member = F.struct("n", "node")
     buckets = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
@@ -236,9 +273,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     # shingle sets of the classes that share a bucket with another one
     wanted = starred.select("node").distinct()
-    texts = classes.select("node", "id").join(wanted, "node", "left_semi")
+    texts = classes.select("node", F.col("row.id").alias("of"), F.col("row.plain").alias("same"))
+    texts = texts.join(wanted, "node", "left_semi")
     sets = settled(
-        source.join(texts.select(F.col("id").alias("of"), "node"), F.col("id").eqNullSafe(F.col("of")))
+        source.join(texts, (F.col("plain") == F.col("same")) & F.col("id").eqNullSafe(F.col("of")))
         .select("node", "text")
         .mapInArrow(_sets, "node binary, shingles array<long>")
         .dropDuplicates(["node"])
@@ -275,20 +313,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     torn = settled(
         named.join(hubs.hint("merge"), ["band", "key"])
         .select("band", "key", "node", "component", "hub")
-        .join(classes.select("node", "n", "bits").hint("merge"), "node")
-    )
-    outside = torn.where(F.col("component") != F.col("hub")).select(
-        "band", "key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"),
-        F.col("bits").alias("xbits"),
-    )
-    rest = (
-        torn.join(outside.hint("merge"), ["band", "key"])
-        .where((F.col("component") != F.col("xc")) & _similar_size(F.col("n"), F.col("xn")))
-        .where(_alike(F.col("bits"), F.col("n"), F.col("xbits"), F.col("xn")))
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-        .distinct()
-        .join(star.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+        .join(classes.select("node", "n").hint("merge"), "node")
     )
+    rest = _apart(torn, sets).join(star.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
     more = settled(_confirmed(rest, sets))
     if not more.isEmpty():
         label = settled(components(links.unionAll(more)))

@@ -315,3 +315,51 @@ def test_documents_without_near_lines(spark):
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_near_lines(frame(spark, rows, DOCS)).collect()}
     assert got == {1: "one line here\nanother one", 2: "its own line"}
     assert line_dedup.without_near_lines(frame(spark, [], DOCS)).count() == 0
+
+
+# --- near duplicates: groups of several components ---------------------------------------------
+
+
+def brute_components(rows):
+    sets = {}
+    for i, text in rows:
+        words = (text or "").lower().split()
+        grams = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+        sets.setdefault(i, []).append(grams)
+    ids = sorted(sets)
+    least = {i: i for i in ids}
+    links = [
+        (a, b) for a, b in itertools.combinations(ids, 2)
+        if any(x and y and 100 * len(x & y) >= 75 * len(x | y) for x in sets[a] for y in sets[b])
+    ]
+    for _ in ids:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least, links
+
+
+def test_a_group_of_many_components_keeps_every_link(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(vocabulary) for _ in range(150)]
+    rows = []
+    for i in range(160):  # near copies at the border of the threshold, unlike each other
+        text = list(base)
+        for _ in range(rng.randint(2, 9)):
+            text[rng.randrange(len(text))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(text)))
+    chain = [rng.choice(vocabulary) for _ in range(120)]
+    for i in range(200, 230):  # each like the one before, the ends are not alike
+        chain = chain[3:] + [rng.choice(vocabulary) for _ in range(3)]
+        rows.append((i, " ".join(chain)))
+    least, links = brute_components(rows)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows, DOCS)).collect()}
+    assert got == least and len(links) > 100 and len(set(least.values())) > 20
+
+
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(12)
+    rows = [(None, " ".join(rng.choice("abcdefgh") for _ in range(30))) for _ in range(250)]
+    rows += [(None, "the same text for all of these rows here")] * 250
+    got = minhash.near_duplicates(frame(spark, rows, DOCS)).collect()
+    assert len(got) == 500 and all(r["component_id"] is None and r["kept"] for r in got)
