@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("facts", "metrics", "time", "dimensions", "cleaning", "changes", "quality", "discovery", "staging")
+MODULES = ("facts", "metrics", "time", "dimensions", "cleaning", "changes", "quality", "discovery", "staging", "incremental")
 
 
 def registered() -> dict[str, tuple]:
