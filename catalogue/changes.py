@@ -15,7 +15,7 @@ from ledgerline.session import scratch_folder as scratch
 from ledgerline.sources.readers import read_components, read_stream, read_tab_file
 from ledgerline.sources.writers import full_refresh, write_batch, write_outputs
 from ledgerline.streaming.changelog import current_rows, read_state, reenrich, run_changelog
-from ledgerline.streaming.windows import tumbling_totals
+from ledgerline.streaming.windows import closed_windows, tumbling_totals
 
 
 def changes_of(events):
@@ -70,27 +70,11 @@ def events_tumbling(spark, sf):
 
 
 def events_tumbling_stream(spark, sf):
-    """The windows that the stream's watermark has closed; each is written once."""
-    folder = scratch(spark)
+    """All windows of the events as a stream; a marker behind the last one closes it."""
     schema = table(spark, sf, "events").schema
-    stream = read_stream(spark, f"{sf}/events.parquet*", schema).withColumn(
-        "ts", F.col("ts").cast("timestamp")
-    )
-    totals = tumbling_totals(stream, "ts", "value", ["event_type"], "6 hours", lateness="1 hour")
-
-    def append(batch, number):
-        # a batch that is run again replaces its own rows
-        full_refresh(batch, f"{folder}/windows/batch={number}")
-
-    query = (
-        totals.writeStream.outputMode("append")
-        .foreachBatch(append)
-        .option("checkpointLocation", f"{folder}/offsets")
-        .trigger(availableNow=True)
-        .start()
+    windows = closed_windows(
+        spark, f"{sf}/events.parquet*", schema, scratch(spark), "ts", "value", ["event_type"], "6 hours", "1 hour"
     )
-    query.awaitTermination()
-    windows = spark.read.parquet(f"{folder}/windows").drop("batch")
     return windows.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
     )
@@ -252,11 +236,7 @@ QUERIES = {
     "changelog_upsert": (changelog_upsert, _LATEST),
     "changelog_stream": (changelog_stream, f"SELECT * FROM ({_LATEST}) WHERE mode <> 'D'"),
     "events_tumbling": (events_tumbling, _TUMBLING),
-    "events_tumbling_stream": (
-        events_tumbling_stream,
-        f"""SELECT * FROM ({_TUMBLING})
-        WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 1 HOUR FROM events)""",
-    ),
+    "events_tumbling_stream": (events_tumbling_stream, _TUMBLING),
     "changed_lookup_rows": (
         changed_lookup_rows,
         """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline.functions.text import snake_name
@@ -33,6 +34,16 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
     return spark.read.table(name_or_path)
 
 
+def existing(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` returns, or None where its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_components(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
     """Batch components of one table, with the component's name on every row."""
     return lineage_union({n: read_table(spark, f"{folder}/{n}") for n in names})

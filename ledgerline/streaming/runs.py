@@ -20,9 +20,9 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.sources.readers import existing
 from ledgerline.streaming.changelog import metadata_is_newer, must_rebuild
 
 MARK = (
@@ -41,16 +41,6 @@ class Mark:
     version: str | None  # of the metadata, or of the changes folded in
 
 
-def _existing(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What ``read`` returns, or None where the path does not exist."""
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 @dataclass(frozen=True)
 class Output:
     """A folder of runs; also an input of later jobs."""
@@ -59,7 +49,7 @@ class Output:
 
     def marks(self, spark: SparkSession) -> list[Mark]:
         """All marks, oldest first; one short row per run."""
-        found = _existing(lambda: spark.read.schema(MARK).parquet(f"{self.root}/marks/*"))
+        found = existing(lambda: spark.read.schema(MARK).parquet(f"{self.root}/marks/*"))
         if found is None:
             return []
         return [
@@ -142,7 +132,7 @@ def listed_files(spark: SparkSession, inputs: Mapping[str, Landing | Output]) ->
     out = spark.createDataFrame([], FILES)
     for name, source in inputs.items():
         for folder in source.folders(spark):
-            found = _existing(
+            found = existing(
                 lambda: spark.read.format("binaryFile")
                 .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(folder)
             )

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline.functions.exact import exact_sum
+from ledgerline.sources.readers import read_stream
+from ledgerline.sources.writers import full_refresh
+
+MARKER = "closing_marker"
 
 
 def tumbling_totals(
@@ -31,3 +35,60 @@ def tumbling_totals(
             "total_value",
         )
     )
+
+
+def closed_windows(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    folder: str,
+    time: str,
+    value: str,
+    keys: Sequence[str] = (),
+    width: str = "1 hour",
+    lateness: str = "0 seconds",
+    scale: int = 4,
+    files_per_batch: int = 1000,
+    close: bool = True,
+) -> DataFrame:
+    """All windows of a stream of files, each written once, when the watermark has closed it.
+
+    The events are read from ``path`` as far as they go.  With ``close`` a marker event is put
+    behind the last window afterwards, which moves the watermark past it, so the windows that
+    were still open are written as well; the marker has a window of its own, which stays out.
+    Without it they stay in the state, and a later call with the same ``folder`` goes on there.
+    Rows that come after their window was closed are dropped by the stream.
+    """
+    empty = spark.createDataFrame([], schema)
+    named = [time, value, *keys]
+    empty.select(*named).write.mode("append").parquet(f"{folder}/markers")
+    events = read_stream(spark, path, schema, files_per_batch).select(*named, F.lit(False).alias(MARKER))
+    markers = read_stream(spark, f"{folder}/markers", empty.select(*named).schema).withColumn(MARKER, F.lit(True))
+    stream = events.unionByName(markers).withColumn(time, F.col(time).cast("timestamp"))
+    totals = tumbling_totals(stream, time, value, [*keys, MARKER], width, lateness, scale)
+
+    def append(batch: DataFrame, number: int) -> None:
+        # a batch that is run again replaces its own rows
+        full_refresh(batch.where(~F.col(MARKER)).drop(MARKER), f"{folder}/windows/batch={number}")
+
+    def run() -> None:
+        query = (
+            totals.writeStream.outputMode("append")
+            .foreachBatch(append)
+            .option("checkpointLocation", f"{folder}/offsets")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    run()
+    if close:
+        last = spark.read.schema(schema).parquet(path).agg(F.max(F.col(time).cast("timestamp")).alias("t"))
+        behind = F.col("t") + F.expr(f"2 * INTERVAL {width}") + F.expr(f"2 * INTERVAL {lateness}") 
+        kind = schema[time].dataType
+        row = last.where("t is not null").select(
+            *[(behind.cast(kind) if c == time else F.lit(None).cast(schema[c].dataType)).alias(c) for c in named]
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{folder}/markers")
+        run()
+    return spark.read.parquet(f"{folder}/windows").drop("batch")

@@ -3,8 +3,8 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
+from ledgerline.streaming import changelog
 from ledgerline.streaming.runs import Landing, MetadataState, Output, run_incremental
 
 DAY = dt.datetime(2030, 1, 1)
@@ -79,3 +79,41 @@ def test_replaced_input_new_columns_and_metadata_rebuild(spark, job):
     assert run(incremental=False, now=at(8)).kind == "snapshot" and output.read(spark).count() == 4
     with pytest.raises(ValueError):
         output.read(spark, "next")
+
+
+# --- change-log state ------------------------------------------------------------------------
+
+LOG = "k string, t int, v string"
+
+
+def log(spark, rows):
+    return spark.createDataFrame(rows, LOG)
+
+
+def files(root):
+    return {str(p.relative_to(root)) for p in root.rglob("*.parquet")}
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    root = tmp_path / "state"
+    changelog.fold_batch(log(spark, [(f"k{i}", 1, "a") for i in range(200)]), 0, str(root), "k", ["t"])
+    first = files(root / "data")
+    changelog.fold_batch(log(spark, [("k7", 2, "b"), ("k7", 1, "old"), (None, 1, "n")]), 1, str(root), "k", ["t"])
+    assert first <= files(root / "data")
+    written = changelog.manifests(spark, str(root))[1]
+    assert 1 <= sum(w == 1 for w in written.values()) <= 2 and sum(w == 0 for w in written.values()) > 50
+    # run again after a failure: same state, from the state before it
+    changelog.fold_batch(log(spark, [("k7", 2, "b"), ("k7", 1, "old"), (None, 1, "n")]), 1, str(root), "k", ["t"])
+    state = {r["k"]: r["v"] for r in changelog.read_state(spark, str(root)).collect()}
+    assert len(state) == 201 and state["k7"] == "b" and state[None] == "n" and state["k8"] == "a"
+    assert changelog.read_state(spark, str(root), before=1).count() == 200
+    # two batches on, what nobody names any more is gone
+    changelog.fold_batch(log(spark, [("k7", 3, "c")]), 2, str(root), "k", ["t"])
+    changelog.fold_batch(log(spark, [("k7", 4, "d")]), 3, str(root), "k", ["t"])
+    assert sorted(changelog.manifests(spark, str(root))) == [2, 3]
+    bucket = next(b for b, w in changelog.manifests(spark, str(root))[3].items() if w == 3)
+    assert not (root / "data" / "000000000" / f"state_bucket={bucket}").exists()
+    state = {r["k"]: r["v"] for r in changelog.read_state(spark, str(root)).collect()}
+    assert len(state) == 201 and state["k7"] == "d"
+    changelog.fold_batch(log(spark, []), 4, str(root), "k", ["t"])
+    assert sorted(changelog.manifests(spark, str(root))) == [2, 3]
