@@ -291,7 +291,7 @@ def with_ranks_and_shares(
         df.select(quoted(key).alias("key"), F.inline(entries)).filter("taken").drop("taken")
     )
     ranked = running_totals(
-        melted,
+        settled(melted),
         partition=["metric"],
         peers=[Order("value", descending=True)],
         tie_break=[Order("key")],
