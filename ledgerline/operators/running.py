@@ -161,7 +161,7 @@ def running_totals(
         done = windows(df, keys)
         out = {name: quoted(name) for name in df.columns}
         if rank:
-            out[rank] = F.col("__n")
+            out[rank] = F.col("__n").cast("long")
         out |= {name: shown(F.col(f"__s{i}")) for i, name in enumerate(sums)}
         out |= {name: shown(F.col(f"__t{list(sums).index(of)}")) for name, of in totals.items()}
         return done.select([c.alias(name) for name, c in out.items()])
