@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.facts import PARTNERS, RELATIONS, customers_of, relations_of
-from catalogue.tables import AS_OF, HORIZONS, ITEMS, items, rfm_sql, spec, table
+from catalogue.tables import AS_OF, HORIZONS, ITEMS, compared, items, ranked_rfm_sql, spec, table
 from catalogue.time import _rolling_sql
 from ledgerline.functions.dates import months_before
 from ledgerline.operators.rfm import label_sets, InvoiceColumns
@@ -24,12 +24,12 @@ from ledgerline.plans.dimensions import (
 )
 from ledgerline.plans.series import LEVELS, UNUSED_LEVELS, row_filters, series_metrics, series_pre_aggregate
 
-_H = [HORIZONS[1]]
+_H = list(HORIZONS)
 _SPEC = dict(horizons=_H)
 
 
 def _without_ids(df):
-    return df.drop(*[c for c in df.columns if c.endswith("time_series_id")])
+    return compared(df.drop(*[c for c in df.columns if c.endswith("time_series_id")]))
 
 
 def _customer_base(spark, sf):
@@ -64,7 +64,7 @@ def _customer_dimension(spark, sf):
     )
     return customers(
         _customer_base(spark, sf), classes, states, zips, territories, relations_of(spark, sf),
-        items(spark, sf), spec(**_SPEC), sentinel="0", ranks=False,
+        items(spark, sf), spec(**_SPEC), sentinel="0", ranks=True,
     )
 
 
@@ -73,9 +73,9 @@ def customer_dimension(spark, sf):
 
 
 _CUSTOMER_CTE = f"""{RELATIONS}, {PARTNERS},
-m1 AS ({rfm_sql('sold_to_key', 'customer', _H)}),
-m2 AS ({rfm_sql("coalesce(ship_to_key, '')", 'customer_shipto', _H)}),
-m3 AS ({rfm_sql('bill_to_key', 'customer_billto', _H)}),
+m1 AS ({ranked_rfm_sql('sold_to_key', 'customer', _H)}),
+m2 AS ({ranked_rfm_sql("coalesce(ship_to_key, '')", 'customer_shipto', _H)}),
+m3 AS ({ranked_rfm_sql('bill_to_key', 'customer_billto', _H)}),
 dim AS (SELECT CAST(c_custkey AS VARCHAR) AS primary_key, c_name AS name, c_mktsegment AS class_key, 'R' || c_nationkey AS region,
   (c_nationkey + 10000) || '-' || c_custkey AS postal_code, CAST(NULL AS VARCHAR) AS deletion_flag,
   upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS class_description, 'R' || c_nationkey AS state_code,
@@ -103,13 +103,13 @@ def account_dimension(spark, sf):
         .agg(F.count("*").alias("class_orders"))
     )
     dimension = customer_accounts(
-        accounts, customer_dimension(spark, sf), classes, items(spark, sf), spec(**_SPEC), ranks=False
+        accounts, customer_dimension(spark, sf), classes, items(spark, sf), spec(**_SPEC), ranks=True
     )
     return _without_ids(dimension)
 
 
 _ACCOUNT_SQL = f"""WITH {ITEMS}, {_CUSTOMER_CTE},
-a1 AS ({rfm_sql('account_key', 'customer_account', _H)}), a2 AS ({rfm_sql('payer_account_key', 'customer_account_billto', _H)}),
+a1 AS ({ranked_rfm_sql('account_key', 'customer_account', _H)}), a2 AS ({ranked_rfm_sql('payer_account_key', 'customer_account_billto', _H)}),
 acc AS (SELECT DISTINCT concat_ws('_|_', o_custkey, o_orderstatus) AS primary_key, CAST(o_custkey AS VARCHAR) AS customer_key,
   o_orderstatus AS trade_class, CAST(NULL AS VARCHAR) AS deletion_flag FROM orders)
 SELECT acc.*, class_orders, dim.* EXCLUDE (primary_key, deletion_flag), a1.* EXCLUDE (primary_key), a2.* EXCLUDE (primary_key)
@@ -132,14 +132,14 @@ def affiliation_metrics(spark, sf):
     )
     affiliated = items(spark, sf).join(partner, F.col("sold_to_key") == F.col("customer_key"), "left")
     return _without_ids(
-        affiliations(dimension, affiliated, "A3", "affiliation_key", spec(**_SPEC), ranks=False)
+        affiliations(dimension, affiliated, "A3", "affiliation_key", spec(**_SPEC), ranks=True)
     )
 
 
 _AFFILIATION_SQL = f"""WITH {ITEMS}, {RELATIONS},
 p AS (SELECT customer_key, min(partner_key) AS affiliation_key FROM relations WHERE role = 'A3' GROUP BY 1),
 src AS (SELECT * FROM items LEFT JOIN p ON sold_to_key = customer_key),
-m AS ({rfm_sql("coalesce(affiliation_key, '')", 'customer_affiliation__A3', _H, source='src')})
+m AS ({ranked_rfm_sql("coalesce(affiliation_key, '')", 'customer_affiliation__A3', _H, source='src')})
 SELECT c_name AS name, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS nation, m.*
 FROM customer JOIN m ON m.primary_key = CAST(c_custkey AS VARCHAR)
 WHERE customer_affiliation__A3_has_billing_documents_since_{_H[0].alias} IS NOT NULL"""
@@ -161,7 +161,7 @@ def _product_base(spark, sf):
     )
 
 
-def _product_dimension(spark, sf, ranks=False):
+def _product_dimension(spark, sf):
     base = _product_base(spark, sf)
     master = table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("primary_key"),
@@ -170,7 +170,7 @@ def _product_dimension(spark, sf, ranks=False):
     )
     return products(
         base, master, items(spark, sf), spec(**_SPEC), {"material_number": "product_number"},
-        ["brand#1", "brand#20"], ranks=ranks, prune=False,
+        ["brand#1", "brand#20"], prune=False,
     )
 
 
@@ -186,7 +186,7 @@ _LABELS = """labels AS (SELECT product_key AS primary_key,
     CAST(bool_or(NOT source_flag) AS INTEGER) + CAST(bool_or(source_flag) AS INTEGER) AS source_labels_count
   FROM items GROUP BY 1)"""
 
-_PRODUCT_SQL = f"""WITH {ITEMS}, {_LABELS}, m AS ({rfm_sql('product_key', 'product', _H)})
+_PRODUCT_SQL = f"""WITH {ITEMS}, {_LABELS}, m AS ({ranked_rfm_sql('product_key', 'product', _H)})
 SELECT CAST(p_partkey AS VARCHAR) AS primary_key, p_name AS product_name, p_brand AS trade_name, p_type AS generic_name,
   CAST(p_size AS VARCHAR) AS drug_code, lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS material_number, p_size || 'X10 EA' AS size_text,
   p_size AS pack_size, CAST(NULL AS INTEGER) AS pack_quantity, CASE WHEN p_size > 30 THEN 'TB' ELSE 'CP' END AS form,
@@ -205,7 +205,7 @@ def _rollup(spark, sf, attribute):
     labels = label_sets(source, ["product_key"], InvoiceColumns())
     dimension = _product_base(spark, sf).join(labels, "primary_key", "left")
     rolled = product_rollup(
-        dimension, source, attribute, attribute, spec(**_SPEC), ranks=False,
+        dimension, source, attribute, attribute, spec(**_SPEC), ranks=True,
         lists={"product_key": "primary_key", "trade_name": "trade_name", "form": "form"},
         first={"first_group": "product_group"},
     )
@@ -227,7 +227,7 @@ def drug_code_rollup(spark, sf):
 
 def _rollup_sql(attribute: str, column: str) -> str:
     return f"""WITH {ITEMS}, src AS (SELECT items.*, CAST(p_size AS VARCHAR) AS drug_code FROM items JOIN part ON CAST(p_partkey AS VARCHAR) = product_key),
-m AS ({rfm_sql(attribute, attribute, _H, source='src')}),
+m AS ({ranked_rfm_sql(attribute, attribute, _H, source='src')}),
 f AS (SELECT product_key, specialty_flag, source_flag FROM items),
 r AS (SELECT CAST({column} AS VARCHAR) AS primary_key, min(p_type) AS first_group,
   array_to_string(list_sort(list(DISTINCT CAST(p_partkey AS VARCHAR))), '|') AS product_key_list,
@@ -250,7 +250,7 @@ def vendor_dimension(spark, sf):
         F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("vendor_code"),
         F.col("s_name").alias("name"),
     )
-    return _without_ids(vendors(base, items(spark, sf), spec(**_SPEC), ranks=False))
+    return _without_ids(vendors(base, items(spark, sf), spec(**_SPEC), ranks=True))
 
 
 def plant_product_flags(spark, sf):
@@ -286,7 +286,7 @@ def state_metrics(spark, sf):
         F.concat(F.lit("geo-"), F.col("n_name")).alias("state_geo_id"),
     )
     return _without_ids(
-        area_metrics(states, billed, "state_code", "state_geo_id", "state", spec(**_SPEC), ranks=False)
+        area_metrics(states, billed, "state_code", "state_geo_id", "state", spec(**_SPEC), ranks=True)
     )
 
 
@@ -297,14 +297,14 @@ def zip_metrics(spark, sf):
         F.concat(F.lit("zip-"), F.col("n_name")).alias("zip_code_geo_id"),
     )
     return _without_ids(
-        area_metrics(zips, billed, "zip_code", "zip_code_geo_id", "zip_code", spec(**_SPEC), ranks=False)
+        area_metrics(zips, billed, "zip_code", "zip_code_geo_id", "zip_code", spec(**_SPEC), ranks=True)
     )
 
 
 def _area_sql(code: str, geo: str, name: str, value: str, geo_value: str) -> str:
     return f"""WITH {ITEMS}, src AS (SELECT items.*, {value.replace('n_nationkey', 'c_nationkey')} AS {code}
   FROM items JOIN customer ON CAST(c_custkey AS VARCHAR) = sold_to_key),
-m AS ({rfm_sql(code, name, _H, source='src')})
+m AS ({ranked_rfm_sql(code, name, _H, source='src')})
 SELECT {geo_value} AS primary_key, {value} AS {code}, m.* EXCLUDE (primary_key)
 FROM nation LEFT JOIN m ON m.primary_key = {value}"""
 
@@ -374,7 +374,7 @@ QUERIES = {
     "drug_code_rollup": (drug_code_rollup, _rollup_sql("drug_code", "p_size")),
     "vendor_dimension": (
         vendor_dimension,
-        f"""WITH {ITEMS}, m AS ({rfm_sql('manufacturer_key', 'manufacturer', _H)})
+        f"""WITH {ITEMS}, m AS ({ranked_rfm_sql('manufacturer_key', 'manufacturer', _H)})
         SELECT CAST(s_suppkey AS VARCHAR) AS primary_key, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS vendor_code, s_name AS name,
           CAST(s_suppkey AS VARCHAR) AS vendor_number, s_name || ' (' || s_suppkey || ')' AS title, m.* EXCLUDE (primary_key)
         FROM supplier LEFT JOIN m ON m.primary_key = CAST(s_suppkey AS VARCHAR)""",

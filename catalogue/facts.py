@@ -224,7 +224,7 @@ WHERE customer_key IS NOT NULL AND customer_key <> '' AND {member} IS NOT NULL A
 
 
 def _pair_plan(spark, sf, member, name, dimension):
-    horizons = [HORIZONS[1]]
+    horizons = list(HORIZONS)
     pairs = customer_pairs(
         items(spark, sf, products=True),
         customers_of(spark, sf).withColumnsRenamed({"name": "customer_name"}),
@@ -259,7 +259,7 @@ def customer_trade_pairs(spark, sf):
 def _pair_plan_sql(member: str, name: str, dimension: str, columns: str) -> str:
     roles = (("soldto", "sold_to_key"), ("billto", "bill_to_key"), ("shipto", "ship_to_key"))
     metrics = ", ".join(
-        f"m_{r} AS ({rfm_sql(f'''concat_ws('_||_', {key}, {member})''', f'customer_{r}_{name}', [HORIZONS[1]])})"
+        f"m_{r} AS ({rfm_sql(f'''concat_ws('_||_', {key}, {member})''', f'customer_{r}_{name}', list(HORIZONS))})"
         for r, key in roles
     )
     joins = " ".join(f"LEFT JOIN m_{r} USING (primary_key)" for r, _ in roles)

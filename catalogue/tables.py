@@ -169,3 +169,40 @@ FROM (SELECT {group} AS primary_key, {', '.join(inner)}
       WHERE currency = 'USD' AND billed_quantity > 0 AND net_value > 0
         AND billing_date >= DATE '{first}'
       GROUP BY 1) g"""
+
+
+RANKED = ("order_count", "total_order_value", "total_order_value_per_day")
+# sums of a ratio have no exact value to compare; its rank has
+UNSUMMED = RANKED[2:]
+
+
+def ranked_rfm_sql(group: str, name: str, horizons=None, source: str = "items") -> str:
+    """The metrics with rank, running sum, total and shares of the ranked ones."""
+    out = []
+    for h in horizons or HORIZONS:
+        number = f"{name}_order_count_since_{h.alias}"
+        for m in RANKED:
+            c = f"{name}_{m}_since_{h.alias}"
+            place = f"({number} IS NULL), {c} DESC NULLS LAST"
+            shown = "CASE WHEN {0} IS NOT NULL THEN {1} END AS {2}_{3}"
+            out.append(
+                shown.format(number, f"row_number() OVER (ORDER BY {place}, primary_key NULLS FIRST)", "rank_of", c)
+            )
+            if m in UNSUMMED:
+                continue
+            run = f"CAST(sum(CAST({c} AS DECIMAL(18, 4))) OVER (ORDER BY {place}) AS DOUBLE)"
+            total = f"CAST(sum(CAST({c} AS DECIMAL(18, 4))) OVER () AS DOUBLE)"
+            out += [
+                shown.format(number, run, "cumulative_sum_of", c),
+                shown.format(number, total, "total", c),
+                f"{c} / nullif({total}, 0) AS pcntg_of_total_{c}",
+                shown.format(number, f"{run} / nullif({total}, 0)", "cumulative_sum_of_pcntg_of_total", c),
+            ]
+    return f"SELECT g.*, {', '.join(out)} FROM ({rfm_sql(group, name, horizons, source)}) g"
+
+
+def compared(df: DataFrame) -> DataFrame:
+    """Without running sums and totals of ratios."""
+    prefixes = ("cumulative_sum_of_", "total_", "pcntg_of_total_")
+    ratio = [f"_{m}_since_" for m in UNSUMMED]
+    return df.drop(*[c for c in df.columns if c.startswith(prefixes) and any(r in c for r in ratio) and not c.startswith("rank_of_")])
