@@ -13,7 +13,7 @@ from ledgerline.operators.joins import upsert
 from ledgerline.operators.sets import changed_names, lineage_union, row_counts, wide_union
 from ledgerline.session import scratch_folder as scratch
 from ledgerline.sources.readers import read_components, read_stream, read_tab_file
-from ledgerline.sources.writers import full_refresh, write_batch, write_outputs
+from ledgerline.sources.writers import write_batch, write_outputs
 from ledgerline.streaming.changelog import current_rows, read_state, reenrich, run_changelog
 from ledgerline.streaming.windows import closed_windows, tumbling_totals
 
@@ -159,9 +159,8 @@ def row_count_report(spark, sf):
     return row_counts(tables)
 
 
-def _catalogue(spark, sf, start, end):
-    """What each supplier delivered in a period, in the shape of metadata."""
-    billed = items(spark, sf).filter(F.col("billing_date").between(start, end))
+def _catalogue(billed):
+    """What each supplier delivered, in the shape of metadata."""
     pairs = billed.select(F.col("manufacturer_key").alias("object_name"), F.col("product_key").alias("raw_field_name")).distinct()
     objects = billed.groupBy(F.col("manufacturer_key").alias("object_name")).agg(
         F.array(F.min("plant_key")).alias("primary_key_raw_fields")
@@ -172,18 +171,22 @@ def _catalogue(spark, sf, start, end):
     return Metadata(conform(objects, OBJECTS), conform(pairs, FIELDS), conform(links, LINKS))
 
 
+def _before_last(billed, days):
+    """Items up to some days before the last one."""
+    last = billed.agg(F.max("billing_date")).first()[0]
+    return billed.filter(F.col("billing_date") <= F.date_sub(F.lit(last), days))
+
+
 def metadata_diff(spark, sf):
+    """Suppliers that the last day changed, all deliveries against all before that day."""
     names = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("table_name"))
-    return metadata_diffs(
-        names,
-        _catalogue(spark, sf, "2001-09-01", "2001-09-03"),
-        _catalogue(spark, sf, "2001-09-02", "2001-09-04"),
-    )
+    billed = items(spark, sf)
+    return metadata_diffs(names, _catalogue(billed), _catalogue(_before_last(billed, 1)))
 
 
 def _diff_sql() -> str:
-    def catalogue(name, start, end):
-        where = f"FROM items WHERE billing_date BETWEEN DATE '{start}' AND DATE '{end}'"
+    def catalogue(name, days):
+        where = f"FROM items WHERE billing_date <= (SELECT max(billing_date) FROM items) - {days}"
         return f"""{name}_f AS (SELECT DISTINCT manufacturer_key, product_key {where}),
           {name}_l AS (SELECT DISTINCT manufacturer_key, plant_key {where} AND billed_quantity > 49),
           {name}_o AS (SELECT DISTINCT manufacturer_key, min(plant_key) AS k {where} GROUP BY 1)"""
@@ -193,20 +196,19 @@ def _diff_sql() -> str:
         for k in ("f", "l", "o")
         for a, b in (("n", "p"), ("p", "n"))
     )
-    return f"""WITH {ITEMS}, {catalogue('n', '2001-09-01', '2001-09-03')}, {catalogue('p', '2001-09-02', '2001-09-04')},
+    return f"""WITH {ITEMS}, {catalogue('n', 0)}, {catalogue('p', 1)},
 c AS ({changed})
 SELECT CAST(s_suppkey AS VARCHAR) AS table_name, CAST(s_suppkey AS VARCHAR) IN (SELECT manufacturer_key FROM c) AS has_changed FROM supplier"""
 
 
 def changed_products(spark, sf):
-    """Suppliers whose delivered products differ between two years."""
-    source = items(spark, sf)
+    """Suppliers that delivered a product on the last day that they never had before."""
+    billed = items(spark, sf)
 
-    def year(y):
-        return source.filter(F.year("billing_date") == y).select("manufacturer_key", "trade_name").distinct()
+    def delivered(df):
+        return df.select("manufacturer_key", "product_key").distinct()
 
-    source = items(spark, sf, products=True)
-    return changed_names(year(2000), year(2001), "manufacturer_key")
+    return changed_names(delivered(billed), delivered(_before_last(billed, 1)), "manufacturer_key")
 
 
 def first_order_per_customer(spark, sf):
@@ -272,8 +274,8 @@ QUERIES = {
     "metadata_diff": (metadata_diff, _diff_sql()),
     "changed_names": (
         changed_products,
-        f"""WITH {ITEMS}, a AS (SELECT DISTINCT manufacturer_key, trade_name FROM items WHERE year(billing_date) = 2000),
-        b AS (SELECT DISTINCT manufacturer_key, trade_name FROM items WHERE year(billing_date) = 2001)
+        f"""WITH {ITEMS}, a AS (SELECT DISTINCT manufacturer_key, product_key FROM items),
+        b AS (SELECT DISTINCT manufacturer_key, product_key FROM items WHERE billing_date <= (SELECT max(billing_date) FROM items) - 1)
         SELECT DISTINCT manufacturer_key AS table_name FROM ((SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a))""",
     ),
     "first_per_key": (
