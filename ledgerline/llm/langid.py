@@ -46,9 +46,13 @@ _BLANK = 32
 
 
 def _letters() -> np.ndarray:
-    """Lower-cased code point of each letter, 0 for all other characters."""
-    table = np.zeros(0x32000, np.uint32)
-    for code in range(len(table)):
+    """Lower-cased code point of each letter, 0 for all other characters.
+
+    The last entry stands for all code points behind the last letter.
+    """
+    last = max(code for code in range(0x110000) if chr(code).isalpha())
+    table = np.zeros(last + 2, np.uint32)
+    for code in range(last + 1):
         c = chr(code)
         if c.isalpha():
             low = c.lower()

@@ -51,6 +51,13 @@ def test_language_defined_results(spark):
     assert langid.identified(odd.limit(0), model).count() == 0
 
 
+def test_characters_behind_the_last_letter_are_no_letters():
+    for text in ("\U000f0000", "\U000e0101 12", "\U00033fff\U0010ffff"):
+        assert len(langid.normalised(text)) == 0
+    assert len(langid.normalised("\U00032000")) == 3 and chr(0x32000).isalpha()
+    assert langid.normalised("\U000f0000É").tolist() == [32, ord("é"), 32]
+
+
 def test_kneser_ney_probabilities_add_up():
     rng = random.Random(1)
     text = "".join(rng.choice("aab bc") for _ in range(3000))
