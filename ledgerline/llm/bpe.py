@@ -1,17 +1,17 @@
 """Byte-level BPE encoding and decoding as a reduction over a tree.
 
 A text is halved recursively at places where the split pattern always separates (a blank after
-something that is not blank), so the token lists of the halves are simply joined; leaves of at
-most ``LEAF`` characters go to the tokenizer library.  Where a text has no such place for longer
-than that, each match of the pattern is halved byte-wise, and there the lists of two neighbours
-cannot just be joined, since merges may cross the border.  They are joined by
-encoding a window around the border anew and letting it grow until the tokens outside are
-settled: a list of tokens is the encoding of its bytes if and only if every two neighbours in
+something that is not blank), so the token lists of the halves are simply joined.  Each match of
+the pattern that is no token itself is halved again, byte-wise, down to a few bytes, and there
+the lists of two neighbours cannot just be joined, since merges may cross the border.  They are
+joined by encoding a window around the border anew and letting it grow until the tokens outside
+are settled: a list of tokens is the encoding of its bytes if and only if every two neighbours in
 it are the encoding of their own bytes, so it suffices that the outermost tokens of the window
 and their neighbours outside pass that test.  The join is associative and the empty list is its
 neutral element.  Decoding joins the bytes of the tokens up the tree.
 
-Texts are spread by Spark; a task holds one batch and a bounded store of tested pairs.
+Texts are spread by Spark; a task holds one batch and bounded stores of matches it has encoded
+and of pairs it has tested.
 
 Defined results: a null text counts as empty and has no tokens; special tokens are ordinary text;
 repeated rows are encoded each; unknown or null ids raise an error on decoding, a null list
@@ -24,19 +24,20 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import cached_property, lru_cache
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-LEAF = 4096  # characters of a text that the tokenizer library encodes at once
-WORD_LEAF = 32  # bytes of a long match encoded by plain merging
+LEAF = 4096  # characters of a text, or tokens of a list, that are not halved further
+MATCH_LEAF = 8  # bytes of a match encoded by plain merging
+KNOWN = 150_000  # matches of up to KNOWN_LENGTH characters a worker remembers, twice
+KNOWN_LENGTH = 64
 LONG = 128  # bytes from which plain merging keeps its candidates in a heap
 
 
@@ -51,9 +52,11 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pattern = pattern
+        self.pattern = regex.compile(pattern)
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.never = len(ranks) + max(ranks.values(), default=0) + 1  # above every rank
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.fits = lru_cache(maxsize=200_000)(self._fits)
 
     # --- bytes of one match -------------------------------------------------------------
@@ -121,35 +124,44 @@ class Codec:
                 return before + window + after
             size *= 2
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        if len(piece) <= WORD_LEAF:
+    def halved(self, piece: bytes) -> list[int]:
+        """Encoding by halves, joined up the tree."""
+        if len(piece) <= MATCH_LEAF:
             return self.merged(piece)
         middle = len(piece) // 2
-        return self.joined(self.encode_piece(piece[:middle]), self.encode_piece(piece[middle:]))
+        return self.joined(self.halved(piece[:middle]), self.halved(piece[middle:]))
+
+    def encode_match(self, match: str) -> bytes:
+        """Ids of one match of the pattern, packed; a match that is a token needs no merging.
+
+        Full stores are set aside; what is met again from them moves to the new one, so words in
+        use stay known."""
+        ids = self.older.get(match)
+        if ids is None:
+            piece = match.encode("utf-8")
+            whole = self.ranks.get(piece)
+            ids = np.array([whole] if whole is not None else self.halved(piece), np.int32).tobytes()
+        if len(match) <= KNOWN_LENGTH:
+            if len(self.known) >= KNOWN:
+                self.known, self.older = {}, self.known
+            self.known[match] = ids
+        return ids
 
     # --- texts ----------------------------------------------------------------------------
 
-    @cached_property
-    def library(self) -> tiktoken.Encoding:
-        return tiktoken.Encoding(
-            "leaves", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}
-        )
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers, which join by writing them one after the other."""
+        cut = self._border(text) if len(text) > LEAF else None
+        if cut is None:
+            known, encode = self.known, self.encode_match
+            return b"".join([known.get(m) or encode(m) for m in self.pattern.findall(text)])
+        return self.packed(text[:cut]) + self.packed(text[cut:])
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.packed(text or ""), np.int32)
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if len(text) <= LEAF:
-            return self.library.encode_ordinary(text)
-        cut = self._border(text)
-        if cut is None:  # one unbroken run of characters: its matches are halved byte-wise
-            found = regex.findall(self.pattern, text)
-            return list(chain.from_iterable(self.encode_piece(w.encode("utf-8")) for w in found))
-        left = self.encode(text[:cut])
-        left.extend(self.encode(text[cut:]))
-        return left
+        return self.ids(text).tolist()
 
     @staticmethod
     def _border(text: str) -> int | None:
@@ -199,7 +211,7 @@ def encoded(
         for batch in batches:
             offsets, parts = [0], []
             for text in batch.column(batch.schema.get_field_index(text_column)):
-                ids = np.array(codec.encode(text.as_py()), dtype=np.int32)
+                ids = codec.ids(text.as_py())
                 parts.append(ids)
                 offsets.append(offsets[-1] + len(ids))
             values = np.concatenate(parts) if parts else np.empty(0, np.int32)

@@ -311,6 +311,29 @@ def test_encoding_equals_the_library(vocabulary):
         assert codec.decode(ids) == (text or "").encode()
 
 
+def test_matches_go_through_the_tree_and_full_stores_change_nothing(vocabulary, monkeypatch):
+    ranks, _, library = vocabulary
+    monkeypatch.setattr(bpe, "KNOWN", 3)
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    joins = []
+    joined = codec.joined
+    monkeypatch.setattr(codec, "joined", lambda a, b: joins.append(1) or joined(a, b))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeiorstln") for _ in range(rng.randint(1, 40))) for _ in range(30)]
+    text = " ".join(rng.choice(words) for _ in range(2000))
+    assert codec.encode(text) == library.encode_ordinary(text)
+    assert joins and len(codec.known) <= 3 and len(codec.older) <= 3
+
+
+def test_decoding_unknown_ids_is_an_error(spark, vocabulary):
+    ranks, codec, _ = vocabulary
+    with pytest.raises(KeyError):
+        codec.decode([len(ranks) + 10_000])
+    lists = spark.createDataFrame([(1, [72, 105]), (2, None)], "id long, token_ids array<int>")
+    got = {r["id"]: bytes(r["decoded"]) for r in bpe.decoded(lists, ranks).collect()}
+    assert got == {1: codec.decode([72, 105]), 2: b""}
+
+
 def test_joining_is_associative_with_a_neutral_element(vocabulary):
     _, codec, _ = vocabulary
     rng = random.Random(2)
