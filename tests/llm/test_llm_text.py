@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,23 @@ def test_chat_long_conversation_keeps_every_turn(spark):
     assert got[1][1] == "".join(r[3] for r in rows if r[2] == "assistant")
 
 
+def test_chat_of_very_many_turns_stays_fast(spark):
+    n = 50_000
+    df = spark.range(n).selectExpr(
+        "1L AS conv_id", "id AS turn", "if(id % 3 = 0, 'assistant', 'user') AS role", "concat('t#', id) AS text"
+    )
+    began = time.monotonic()
+    turns, loss, _ = read_back(chat_format.format_conversations(df))[1]
+    assert time.monotonic() - began < 60
+    assert turns == [("user" if i % 3 else "assistant", f"t#{i}") for i in range(n)]
+    assert loss == "".join(f"t#{i}" for i in range(0, n, 3))
+
+
+def test_chat_without_an_assistant_has_no_learned_text(spark):
+    got = read_back(chat_format.format_conversations(frame(spark, [(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")))
+    assert got[1][0] == [("user", "a")] and got[1][1] == ""
+
+
 # --- exact duplicates ------------------------------------------------------------------------
 
 
