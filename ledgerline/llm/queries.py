@@ -31,6 +31,17 @@ def _sha256(text) -> F.Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def _base32(sha1_hex: F.Column) -> F.Column:
+    """Base32 of a hex digest of 20 bytes: 32 digits of five bits each."""
+    bits = F.concat(*[F.lpad(F.conv(F.substring(sha1_hex, 10 * k + 1, 10), 16, 2), 40, "0") for k in range(4)])
+    letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    digits = F.transform(
+        F.sequence(F.lit(0), F.lit(31)),
+        lambda i: F.substring(letters, F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)),
+    )
+    return F.when(sha1_hex.isNotNull(), F.array_join(digits, ""))
+
+
 PLANTED = "\\### Assistant: </turn> ok"
 
 
@@ -158,23 +169,28 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     index = warc.write_archives(pages)
+    # what the bytes read back say, not what their headers say
+    content = F.when(F.col("record_type") == "response", F.col("payload"))
     read = settled(
-        warc.read_records(index.select("file", "offset", "length")).select(
-            "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("bytes")
+        warc.read_records(index).select(
+            "page_id",
+            "record_type",
+            "refers_to",
+            F.octet_length(content).cast("long").alias("bytes"),
+            _base32(F.sha1(content)).alias("payload_digest"),
         )
     )
-    # a revisit's payload is that of the response it names
-    responses = read.where("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("bytes").alias("referred")
-    )
-    responses = settled(responses.where("refers_to is not null").groupBy("refers_to").agg(F.max("referred").alias("referred")))
-    return read.join(responses.hint("merge"), "refers_to", "left").select(
-        "page_id",
-        F.when(F.col("record_type") == "revisit", F.col("referred")).otherwise(F.col("bytes")).alias("payload_bytes"),
-        F.col("digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    # a revisit's payload is that of the response it names; only those few responses are looked up
+    again = read.where("record_type = 'revisit'").drop("bytes", "payload_digest")
+    named = settled(
+        read.where("record_type = 'response'")
+        .join(again.select(F.col("refers_to").alias("page_id")).distinct(), "page_id", "left_semi")
+        .groupBy(F.col("page_id").alias("refers_to"))
+        .agg(F.max("bytes").alias("bytes"), F.max("payload_digest").alias("payload_digest"))
     )
+    columns = ["page_id", F.col("bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"]
+    revisits = again.join(named.hint("merge"), "refers_to", "left").select(columns)
+    return read.where("record_type = 'response'").select(columns).unionByName(revisits)
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

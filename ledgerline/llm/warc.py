@@ -5,8 +5,9 @@ and returns the index: file, offset, length, URL and digest per record.  Every t
 archives of its own rows into the shared folder, rolling over at ``ARCHIVE_BYTES``; a file's
 name is made up anew by each attempt, and only the rows of attempts that succeed reach the
 index, so a repeated task leaves at worst a file that no index names.  ``read_records`` takes
-any selection of index rows, sorts them by file and offset, joins ranges that are less than
-``GAP`` bytes apart and reads each joined range once.
+any selection of index rows, spreads the files over as many tasks as their bytes call for, sorts
+by file and offset, joins ranges that are less than ``GAP`` bytes apart, up to ``READ`` bytes, and
+reads each joined range once.
 
 Of pages with the same payload, that with the smallest id is a response record and the others
 are revisit records that name it; they are told apart by SHA-256 of the payload, the digest in
@@ -27,9 +28,10 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
@@ -39,6 +41,8 @@ from ledgerline.session import scratch_folder, settled
 
 ARCHIVE_BYTES = 64 << 20
 GAP = 64 << 10
+READ = 8 << 20  # bytes of one read, unless one record has more
+TASK = 128 << 20  # bytes of the records that one task reads back
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 INDEX = "page_id long, record_type string, refers_to long, url string, digest string, file string, offset long, length long"
 _SAFE_URL = "%/:=&?~#+!$,;'@()*[]|{}^`\"<>\\-_."
@@ -159,36 +163,45 @@ _NAMES = [part.split()[0] for part in INDEX.split(", ")]
 _ARROW = [pa.int64() if part.split()[1] == "long" else pa.string() for part in INDEX.split(", ")]
 
 
-def coalesced(spans: list[tuple[int, int]], gap: int = GAP) -> list[tuple[int, int]]:
+def coalesced(spans: list[tuple[int, int]], gap: int = GAP, most: int = READ) -> list[tuple[int, int]]:
     """(offset, end) of the reads that cover sorted (offset, length) spans."""
     out: list[tuple[int, int]] = []
     for offset, length in spans:
-        if out and offset - out[-1][1] <= gap:
+        if out and offset - out[-1][1] <= gap and offset + length - out[-1][0] <= most:
             out[-1] = (out[-1][0], max(out[-1][1], offset + length))
         else:
             out.append((offset, offset + length))
     return out
 
 
-def read_records(index: DataFrame, gap: int = GAP) -> DataFrame:
+def read_records(index: DataFrame, gap: int = GAP, task_bytes: int = TASK) -> DataFrame:
     """The records of the given index rows, read back: page_id, record_type, refers_to, digest,
-    payload (of responses).  Reads of one archive are one group, bounded by its size."""
-
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        store, path = fs.FileSystem.from_uri(key[0])
-        spans = sorted(zip(group["offset"].tolist(), group["length"].tolist(), strict=True))
-        rows, at = [], 0
-        with store.open_input_file(path) as file:
-            for start, end in coalesced(spans, gap):
-                file.seek(start)
-                chunk = file.read(end - start)
-                while at < len(spans) and spans[at][0] < end:
-                    offset, length = spans[at]
-                    rows.append(parsed(zlib.decompress(chunk[offset - start : offset - start + length], 31)))
-                    at += 1
-        frame = pd.DataFrame(rows)
-        return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
-
-    return index.groupBy("file").applyInPandas(
+    payload (of responses).  A task holds one joined range and its records."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // task_bytes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for name, group in groupby(rows, key=itemgetter(0)):
+                store, path = fs.FileSystem.from_uri(name)
+                spans, at = [(offset, length) for _, offset, length in group], 0
+                with store.open_input_file(path) as file:
+                    for start, end in coalesced(spans, gap):
+                        file.seek(start)
+                        chunk, records = file.read(end - start), []
+                        while at < len(spans) and sum(spans[at]) <= end:
+                            offset, length = spans[at]
+                            records.append(parsed(zlib.decompress(chunk[offset - start : offset - start + length], 31)))
+                            at += 1
+                        yield pa.RecordBatch.from_pylist(records, schema=_RECORD)
+
+    spread = index.select("file", "offset", "length").repartition(tasks, "file")
+    return spread.sortWithinPartitions("file", "offset").mapInArrow(
         run, "page_id long, record_type string, refers_to long, digest string, payload binary"
     )
+
+
+_RECORD = pa.schema(
+    [("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("digest", pa.string()), ("payload", pa.binary())]
+)

@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import bpe, embedding_dedup, langid, mixing, toxicity, warc
+from ledgerline.llm import bpe, embedding_dedup, langid, mixing, queries, toxicity, warc
 from ledgerline.llm.queries import QUERIES
 from ledgerline.session import ship_package
 
@@ -230,6 +230,24 @@ def test_archives_round_trip(spark):
 def test_ranges_are_coalesced():
     assert warc.coalesced([(0, 10), (10, 5), (100, 1), (300, 4)], gap=85) == [(0, 101), (300, 304)]
     assert warc.coalesced([]) == []
+    # a read ends at its bound, but one record is never cut
+    assert warc.coalesced([(0, 10), (10, 10), (20, 50), (70, 1)], most=20) == [(0, 20), (20, 70), (70, 71)]
+
+
+def test_many_archives_are_read_by_many_tasks(spark):
+    pages = spark.range(60).selectExpr("id AS page_id", "'http://a.example/' AS url", "repeat(concat('x', id), 500) AS html")
+    index = warc.write_archives(pages.repartition(6), archive_bytes=200)
+    assert index.select("file").distinct().count() > 12
+    read = warc.read_records(index, task_bytes=1000)
+    assert read.rdd.getNumPartitions() > 12
+    assert {(r["page_id"], r["payload"].decode()) for r in read.collect()} == {(i, f"x{i}" * 500) for i in range(60)}
+
+
+def test_the_digest_column_is_base32_of_sha1(spark):
+    texts = ["", "a", "längerer Text"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["d"] for r in df.select("t", queries._base32(F.sha1(F.encode("t", "UTF-8"))).alias("d")).collect()}
+    assert got == {t: warc.payload_digest(t.encode()) for t in texts}
 
 
 def test_archive_query_against_brute_force(spark):
