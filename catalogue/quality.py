@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.tables import HORIZONS, items, spec, table
-from ledgerline.functions.forecast import PurchaseModel, ValueModel, with_forecast
+from ledgerline.functions.forecast import (
+    DAYS_PER_MONTH,
+    DURATIONS,
+    LIFETIME_MONTHS,
+    MONTHLY_DISCOUNT,
+    PurchaseModel,
+    ValueModel,
+    with_forecast,
+)
 from ledgerline.operators.columns import quoted
 from ledgerline.operators.quality import (
     column_profile,
@@ -73,18 +81,27 @@ PURCHASES = PurchaseModel(r=0.243, alpha=4.414, a=0.793, b=2.426)
 VALUES = ValueModel(p=6.25, q=3.74, v=15.44)
 
 
-def forecast_scores(spark, sf):
-    """Alive probability, purchases and value forecasts of every customer from exact counts."""
+def _forecast(spark, sf):
     horizon = [HORIZONS[0]]
     metrics = rfm_metrics(items(spark, sf), ["sold_to_key"], "customer", spec(horizons=horizon))
-    scored = with_forecast(metrics, "customer", horizon[0].alias, PURCHASES, VALUES)
-    return scored.select("primary_key", *[quoted(c) for c in scored.columns if c.endswith("_forecast")])
+    return with_forecast(metrics, "customer", horizon[0].alias, PURCHASES, VALUES)
+
+
+def _shown_decimals(column: str) -> int:
+    return 2 if "_value_" in column else 6
+
+
+def forecast_scores(spark, sf):
+    """Alive probability, purchases and value forecasts of every customer from exact counts."""
+    scored = _forecast(spark, sf)
+    names = [c for c in scored.columns if c.endswith("_forecast")]
+    return scored.select("primary_key", *[F.round(quoted(c), _shown_decimals(c)).alias(c) for c in names])
 
 
 def forecast_closed_form(spark, sf):
     """The closed-form part of the forecast: alive probability and value per purchase."""
     alias = HORIZONS[0].alias
-    return forecast_scores(spark, sf).select(
+    return _forecast(spark, sf).select(
         "primary_key",
         F.round("customer_alive_probability_forecast", 6).alias("alive"),
         F.round("customer_30_day_average_monetary_value_forecast", 4).alias("value_per_purchase"),
@@ -108,17 +125,60 @@ def approximate_rfm(spark, sf):
     )
 
 
+def _forecast_columns() -> dict[str, str]:
+    names = {
+        "x": "order_header_count", "t": "recency_in_days", "a": "age_in_days",
+        "v": "avg_order_value_per_order_header", "f": "has_billing_documents",
+    }
+    return {k: f"customer_{v}_since_{HORIZONS[0].alias}" for k, v in names.items()}
+
+
+def _scores_sql() -> str:
+    """Every forecast column; the model's series is summed term by term by a recursive table."""
+    from catalogue.tables import ITEMS, rfm_sql
+
+    m = _forecast_columns()
+    r, alpha, a, b = (f"{v!r}::DOUBLE" for v in (PURCHASES.r, PURCHASES.alpha, PURCHASES.a, PURCHASES.b))
+    p, q, v = (f"{x!r}::DOUBLE" for x in (VALUES.p, VALUES.q, VALUES.v))
+    months = [DAYS_PER_MONTH * (i + 1) for i in range(LIFETIME_MONTHS)]
+    days = ", ".join(f"({d})" for d in sorted({*DURATIONS, *months}))
+    odds = f"CASE WHEN x > 0 THEN {a} / ({b} + x - 1) * pow(({alpha} + age) / ({alpha} + t), {r} + x) ELSE 0 END"
+    lifetime = f"sum(CASE WHEN d IN ({', '.join(map(str, months))}) THEN each * gained / pow({1 + MONTHLY_DISCOUNT!r}::DOUBLE, d / {DAYS_PER_MONTH}.0) END)"
+
+    def shown(column: str, value: str) -> str:
+        name = f"customer_{column}_forecast"
+        return f"round({value}, {_shown_decimals(name)}) AS {name}"
+
+    def at(d: int, value: str) -> str:
+        return f"max(CASE WHEN d = {d} THEN {value} END)"
+
+    columns = [shown("alive_probability", "max(alive)"), shown("total_lifetime_value", lifetime)]
+    for d in DURATIONS:
+        columns += [
+            shown(f"{d}_day_frequency", at(d, "n")),
+            shown(f"{d}_day_average_monetary_value", "max(each)"),
+            shown(f"{d}_day_total_value", at(d, "alive * n * each")),
+        ]
+    return f"""WITH RECURSIVE {ITEMS}, m AS ({rfm_sql('sold_to_key', 'customer', [HORIZONS[0]])}),
+fit AS (SELECT primary_key, CAST({m['x']} AS DOUBLE) AS x, CAST({m['t']} AS DOUBLE) AS t, CAST({m['a']} AS DOUBLE) AS age,
+    CAST({m['v']} AS DOUBLE) AS mean FROM m WHERE {m['f']} AND {m['v']} > 0 AND {m['t']} < {m['a']}),
+spans AS (SELECT *, {a} + {b} + x - 1 AS c, d / ({alpha} + age + d) AS z, {odds} AS odds FROM fit, (VALUES {days}) span(d)),
+terms AS (
+  SELECT primary_key, d, c, z, 0 AS k, 1::DOUBLE AS term, 1::DOUBLE AS total FROM spans
+  UNION ALL
+  SELECT primary_key, d, c, z, k + 1, term * grow, total + term * grow
+  FROM (SELECT *, ({a} + {b} - 1 - {r} + k) * ({a} - 1 + k) / ((c + k) * (k + 1)) * z AS grow FROM terms) WHERE abs(term) > 1e-15 * abs(total)
+), series AS (SELECT primary_key, d, arg_max(total, k) AS h FROM terms GROUP BY primary_key, d),
+counted AS (SELECT primary_key, d, c / ({a} - 1) * (1 - pow(1 - z, {a} - 1) * h) / (1 + odds) AS n, 1 / (1 + odds) AS alive,
+    {p} * ({v} + x * mean) / ({p} * x + {q} - 1) AS each FROM spans JOIN series USING (primary_key, d)),
+gains AS (SELECT *, n - coalesce((SELECT b.n FROM counted b WHERE b.primary_key = counted.primary_key AND b.d = counted.d - {DAYS_PER_MONTH}), 0) AS gained FROM counted)
+SELECT m.primary_key, {', '.join(columns)} FROM m LEFT JOIN gains USING (primary_key) GROUP BY m.primary_key"""
+
+
 def _closed_sql() -> str:
     from catalogue.tables import ITEMS, rfm_sql
 
-    h = HORIZONS[0].alias
-    m = {
-        k: f"customer_{v}_since_{h}"
-        for k, v in {
-            "x": "order_header_count", "t": "recency_in_days", "a": "age_in_days",
-            "v": "avg_order_value_per_order_header", "f": "has_billing_documents",
-        }.items()
-    }
+    m = _forecast_columns()
     ok = f"{m['f']} AND {m['v']} > 0 AND {m['t']} < {m['a']}"
     odds = f"0.793 / (2.426 + {m['x']} - 1) * pow((4.414 + {m['a']}) / (4.414 + {m['t']}), 0.243 + {m['x']})"
     return f"""WITH {ITEMS}, m AS ({rfm_sql('sold_to_key', 'customer', [HORIZONS[0]])})
@@ -145,7 +205,7 @@ QUERIES = {
         schema_drift,
         "SELECT 'columns missing from the dictionary: o_totalprice' AS engine_schema_mismatch, count(*) AS row_count FROM orders",
     ),
-    "forecast_scores": (forecast_scores, None),
+    "forecast_scores": (forecast_scores, _scores_sql()),
     "forecast_closed_form": (forecast_closed_form, _closed_sql()),
     "approximate_rfm": (
         approximate_rfm,

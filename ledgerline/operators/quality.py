@@ -47,24 +47,54 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, data_type string")
 
 
+def _value(i: int, f: T.StructField) -> Column:
+    """One value of column ``i`` as a narrow struct; equal values and only those are equal in it."""
+    c, t = quoted(f.name), f.dataType
+    whole, real, text = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(t, (T.IntegralType, T.BooleanType)):
+        whole = c.cast("long")
+    elif isinstance(t, T.DateType):
+        whole = F.unix_date(c).cast("long")
+    elif isinstance(t, T.TimestampType):
+        whole = F.unix_micros(c)
+    elif isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType):
+        real = c.cast("double")
+    elif isinstance(t, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
+        text = F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    else:
+        text = c.cast("string")
+    return F.struct(F.lit(i).alias("i"), whole.alias("whole"), real.alias("real"), text.alias("text"))
+
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values, nulls apart, by column number: (``i``, ``distinct_values``).
+
+    Rows become narrow (column, value) pairs that are combined before they are exchanged, whatever
+    the number of columns.  Zeros of either sign are equal, and so are all NaN.
+    """
+    pairs = df.select(F.explode(F.array(*[_value(i, f) for i, f in enumerate(df.schema.fields)])).alias("v"))
+    held = pairs.select("v.*").where("whole IS NOT NULL OR real IS NOT NULL OR text IS NOT NULL")
+    return held.distinct().groupBy("i").agg(F.count("*").alias("distinct_values"))
+
+
 def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Count, nulls, distinct values and (for double, long and decimal columns) statistics.
 
     All columns are measured in one aggregate over one scan; its single row is then turned into
-    one row per column.  A null counts as one distinct value.
+    one row per column.  Exact distinct values are counted from (column, value) pairs by a second
+    scan.  A null counts as one distinct value.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     none = F.lit(None).cast("double")
     measures: list[Column] = []
     rows: list[Column] = []
     for i, f in enumerate(df.schema.fields):
         c = quoted(f.name)
         numeric = isinstance(f.dataType, _NUMERIC)
-        measures += [
-            F.count(c).alias(f"n{i}"),
-            F.count_if(c.isNull()).alias(f"z{i}"),
-            distinct(c).alias(f"d{i}"),
-        ]
+        measures += [F.count(c).alias(f"n{i}"), F.count_if(c.isNull()).alias(f"z{i}")]
+        if not exact:
+            measures.append(F.approx_count_distinct(c).alias(f"d{i}"))
         if numeric:
             x = c.cast("double")
             measures += [
@@ -75,18 +105,26 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
             ]
         rows.append(
             F.struct(
+                F.lit(i).alias("i"),
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
                 (F.col(f"n{i}") if numeric else F.lit(None).cast("long")).alias("count"),
                 F.col(f"z{i}").alias("null_count"),
-                (F.col(f"d{i}") + F.when(F.col(f"z{i}") > 0, 1).otherwise(0)).alias("unique_values"),
+                (F.lit(None).cast("long") if exact else F.col(f"d{i}")).alias("distinct_values"),
                 (F.col(f"a{i}") if numeric else none).alias("mean"),
                 (F.col(f"s{i}") if numeric else none).alias("stddev"),
                 (F.col(f"l{i}") if numeric else none).alias("min"),
                 (F.col(f"h{i}") if numeric else none).alias("max"),
             )
         )
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    profile = df.agg(*measures).select(F.inline(F.array(*rows)))
+    if exact:
+        profile = profile.drop("distinct_values").join(distinct_values(df), "i", "left")
+    values = F.coalesce("distinct_values", F.lit(0)) + F.when(F.col("null_count") > 0, 1).otherwise(0)
+    return profile.select(
+        "column_name", "data_type", "count", "null_count", values.alias("unique_values"),
+        "mean", "stddev", "min", "max",
+    )
 
 
 def undeclared_columns(

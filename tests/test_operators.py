@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -450,6 +451,23 @@ def test_profile(spark):
     assert [r["data_type"] for r in quality.schema_table(df).collect()] == ["bigint", "double", "string"]
 
 
+def test_exact_profile_counts_values_of_every_type_in_one_narrow_aggregate(spark):
+    day, at = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 12)
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [
+            (1, 0.0, nan, Decimal("1.10"), "1", b"1", day, at, True, [1, None], 1),
+            (1, -0.0, nan, Decimal("1.10"), "1.0", b"1", day, at, False, [1], 2),
+            (2, None, 1.0, None, "", b"", None, None, None, None, None),
+        ],
+        "a int, b double, c float, d decimal(9,2), e string, f binary, g date, h timestamp, j boolean, k array<int>, i int",
+    )
+    got = {r["column_name"]: r["unique_values"] for r in quality.column_profile(df, exact=True).collect()}
+    assert got == {"a": 2, "b": 2, "c": 2, "d": 2, "e": 3, "f": 2, "g": 2, "h": 2, "j": 3, "k": 3, "i": 3}
+    assert {r["unique_values"] for r in quality.column_profile(df.limit(0), exact=True).collect()} == {0}
+    assert "Expand" not in quality.column_profile(df, exact=True)._jdf.queryExecution().toString()
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, hx int")
     same = quality.with_schema_report(df, ["a", "b"], ignored_prefixes=["h"])
