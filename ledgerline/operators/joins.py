@@ -16,6 +16,7 @@ from ledgerline.functions.text import contains_any
 from ledgerline.operators.columns import quoted
 from ledgerline.session import settled
 
+_SALTS = 1 << 30  # more than any number of partitions
 _SALT = "__null_salt"
 
 
@@ -24,38 +25,36 @@ def _all(predicates: Sequence[Column]) -> Column:
 
 
 def null_safe_left_join(
-    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], spread: int = 256
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left"
 ) -> DataFrame:
     """Left join in which rows with a null key part do not pile up in one partition.
 
     Such rows cannot match.  In one pass they get a salt from their other columns, so a shuffle
-    spreads them, while rows with full keys all carry salt 0, as the right side does.  Columns
-    keep the order left then right, with one copy of the keys.
+    spreads them over all partitions, while rows with full keys all carry salt 0, as the right
+    side does.  Keys that the schema declares never null need no salt, and there the join keeps
+    a partitioning by its keys.  Columns keep the order left then right, with one copy of the keys.
+    ``how`` may also be ``left_anti``: rows without a partner, those with a null key part included.
     """
     taken = set(left.columns)
     clash = [c for c in right.columns if c in taken and c not in {r for _, r in pairs}]
-    if clash:
+    if clash and how == "left":
         raise ValueError(f"columns on both sides: {clash}")
     others = [c for c in left.columns if c not in {l for l, _ in pairs}] or left.columns
-    incomplete = reduce(lambda a, b: a | b, [quoted(l).isNull() for l, _ in pairs])
-    salted = left.withColumn(
-        _SALT,
-        F.when(incomplete, 1 + F.pmod(F.xxhash64(*[quoted(c) for c in others]), F.lit(spread)))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
     keyed = right.select(
         *[quoted(r).alias(f"__key{i}") for i, (_, r) in enumerate(pairs)],
-        *[quoted(c) for c in right.columns if c not in {r for _, r in pairs}],
-        # always 0, but not a literal: the optimizer would turn that into a filter on the left
-        F.xxhash64(*[quoted(r) for _, r in pairs]).bitwiseAND(F.lit(0)).cast("int").alias("__salt0"),
-    )
-    condition = _all(
-        [quoted(l) == F.col(f"__key{i}") for i, (l, _) in enumerate(pairs)]
-        + [F.col(_SALT) == F.col("__salt0")]
+        *[quoted(c) for c in right.columns if how == "left" and c not in {r for _, r in pairs}],
     )
+    equal = [quoted(l) == F.col(f"__key{i}") for i, (l, _) in enumerate(pairs)]
+    if any(left.schema[l].nullable for l, _ in pairs):
+        incomplete = reduce(lambda a, b: a | b, [quoted(l).isNull() for l, _ in pairs])
+        spread = F.pmod(F.xxhash64(*[quoted(c) for c in others]), F.lit(_SALTS))
+        left = left.withColumn(_SALT, F.when(incomplete, 1 + spread).otherwise(F.lit(0)).cast("int"))
+        # always 0, but not a literal: the optimizer would turn that into a filter on the left
+        zero = F.xxhash64(*[F.col(f"__key{i}") for i in range(len(pairs))]).bitwiseAND(F.lit(0))
+        keyed = keyed.withColumn("__salt0", zero.cast("int"))
+        equal.append(F.col(_SALT) == F.col("__salt0"))
     dropped = [f"__key{i}" for i in range(len(pairs))] + [_SALT, "__salt0"]
-    return salted.join(keyed, condition, "left").drop(*dropped)
+    return left.join(keyed, _all(equal), how).drop(*dropped)
 
 
 @dataclass(frozen=True)
@@ -126,35 +125,65 @@ def containment_flag(
 ) -> DataFrame:
     """True where the text contains a token, ignoring case; rows are never multiplied.
 
-    A list written in the job becomes one expression.  A token table is matched by equality:
-    every distinct text is cut into its pieces of each token length, and the pieces are joined
-    with the tokens, so the work follows the text length and not texts x tokens.
+    A list written in the job becomes one expression.  A token table is matched through an index
+    of words: a token's longest run of characters other than blanks must lie inside a word of the
+    text, so only the distinct words of all texts are cut into pieces, texts are exploded into
+    their distinct words, and tokens of several runs are verified on the texts that hold such a
+    word.  Texts travel as ids.  A null text contains nothing, and an empty token is in no text.
     """
     if not isinstance(tokens, DataFrame):
         return df.withColumn(flag, contains_any(quoted(column), tokens))
-    name = tokens.columns[0]
-    needles = tokens.select(F.upper(quoted(name)).alias("piece")).filter("piece != ''").distinct()
+    runs = F.regexp_extract_all(F.col("token"), F.lit(r"(\S+)"), F.lit(1))
+    longest = F.aggregate(
+        runs, F.lit(""), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a)
+    )
+    needles = (
+        tokens.select(F.upper(quoted(tokens.columns[0])).alias("token"))
+        .filter("token != ''")
+        .distinct()
+        .withColumn("part", F.when(F.size(runs) > 0, longest).otherwise(F.col("token")))
+    )
     lengths = sorted(
-        r[0] for r in needles.select(F.length("piece")).distinct().collect()
+        r[0] for r in needles.select(F.length("part")).distinct().collect()
     )  # distinct token lengths, a handful
     if not lengths:
         return df.withColumn(flag, F.lit(False))
-    texts = df.select(quoted(column).alias("text")).filter("text is not null").distinct()
+    texts = settled(
+        df.select(quoted(column).alias("text"))
+        .filter("text is not null")
+        .distinct()
+        .withColumn("text_id", F.monotonically_increasing_id())
+    )
     upper = F.upper(F.col("text"))
+    found = F.regexp_extract_all(upper, F.lit(r"(\S+|\s+)"), F.lit(1))
+    words = settled(texts.select("text_id", F.explode(F.array_distinct(found)).alias("word")))
 
     def windows(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(upper) - n + 1)
+        starts = F.sequence(F.lit(1), F.length("word") - n + 1)
         return F.when(
-            F.length(upper) >= n, F.transform(starts, lambda i: F.substring(upper, i, F.lit(n)))
+            F.length("word") >= n, F.transform(starts, lambda i: F.substring("word", i, F.lit(n)))
         ).otherwise(F.array().cast("array<string>"))
 
-    pieces = F.flatten(F.array(*[windows(n) for n in lengths]))
-    hits = (
-        texts.select("text", F.explode(F.array_distinct(pieces)).alias("piece"))
-        .join(needles, "piece", "left_semi")
-        .select(F.col("text").alias("__text"))
+    pieces = F.array_distinct(F.flatten(F.array(*[windows(n) for n in lengths])))
+    holding = settled(
+        words.select("word")
         .distinct()
-        .withColumn(flag, F.lit(True))
+        .select("word", F.explode(pieces).alias("part"))
+        .join(needles.select("part").distinct(), "part", "left_semi")
+    )
+    plain = holding.join(needles.filter("token = part"), "part", "left_semi").select("word").distinct()
+    several = holding.join(needles.filter("token != part"), "part").select("word", "token")
+    certain = words.join(plain, "word", "left_semi").select("text_id")
+    verified = (
+        words.join(several, "word")
+        .select("text_id", "token")
+        .distinct()
+        .join(texts, "text_id")
+        .filter(F.contains(upper, F.col("token")))
+        .select("text_id")
+    )
+    hits = texts.join(certain.unionByName(verified), "text_id", "left_semi").select(
+        F.col("text").alias("__text"), F.lit(True).alias(flag)
     )
     joined = null_safe_left_join(df, hits, [(column, "__text")])
     return joined.withColumn(flag, F.coalesce(quoted(flag), F.lit(False)))

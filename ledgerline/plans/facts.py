@@ -129,12 +129,13 @@ def raw_invoices(
 
     excluded_orders = orders.filter(quoted("order_type").isin(list(rules.excluded_order_types)))
     services = products.filter(quoted("product_type").isin(list(rules.service_types)))
-    joined = (
-        ruled(items)
-        .join(excluded_orders.select("order_key"), "order_key", "left_anti")
-        .join(services.select("product_key"), "product_key", "left_anti")
-        .join(ruled(headers), "header_key")
+    kept = null_safe_left_join(
+        ruled(items), excluded_orders.select("order_key"), [("order_key", "order_key")], "left_anti"
     )
+    kept = null_safe_left_join(
+        kept, services.select("product_key"), [("product_key", "product_key")], "left_anti"
+    )
+    joined = kept.join(ruled(headers), "header_key")
     ship_to = (
         partners.filter(F.col("role") == rules.ship_to_role)
         .groupBy("header_key")

@@ -140,6 +140,35 @@ def test_upsert_and_missing_members(spark, rows):
     assert rows(joins.missing_members(old, new, ["k"])) == [(1, "o")]
 
 
+def test_null_keys_are_spread_and_never_match(spark):
+    left = spark.range(40).selectExpr("if(id % 4 = 0, id % 8, null) AS k", "id")
+    right = spark.createDataFrame([(0, "zero"), (None, "none")], "k long, name string")
+    got = {r["id"]: r["name"] for r in joins.null_safe_left_join(left, right, [("k", "k")]).collect()}
+    assert got == {i: "zero" if i % 8 == 0 else None for i in range(40)}
+    alone = joins.null_safe_left_join(left, right, [("k", "k")], "left_anti")
+    assert alone.columns == ["k", "id"] and {r["id"] for r in alone.collect()} == {i for i in range(40) if i % 8}
+    salted = left.withColumn("s", F.lit(1)).transform(lambda d: joins.null_safe_left_join(d, right, [("k", "k")]))
+    assert "__salt" in salted._jdf.queryExecution().toString()
+    never_null = spark.range(5).withColumnRenamed("id", "k")
+    plain = joins.null_safe_left_join(never_null, right, [("k", "k")])
+    assert "__salt" not in plain._jdf.queryExecution().toString() and plain.count() == 5
+
+
+def test_containment_by_words_equals_brute_force_with_blanks_in_tokens(spark):
+    rng = random.Random(4)
+
+    def text(longest):
+        return "".join(rng.choice("ab \tÄ\u00a0") for _ in range(rng.randint(0, longest)))
+
+    texts = [text(14) for _ in range(400)] + [None, "", "   ", "ab " * 3000]
+    for tokens in ([" "], ["b a"], [" \t"], ["ä"], [text(5) for _ in range(12)], ["", None]):
+        df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+        table = spark.createDataFrame([(t,) for t in tokens], "token string")
+        got = {r["id"]: r["hit"] for r in joins.containment_flag(df, "t", table, "hit").collect()}
+        wanted = [t.upper() for t in tokens if t]
+        assert got == {i: any(w in t.upper() for w in wanted) if t is not None else False for i, t in enumerate(texts)}
+
+
 def test_containment_table_equals_brute_force(spark):
     rng = random.Random(3)
     texts = ["".join(rng.choice("abC ") for _ in range(rng.randint(0, 12))) for _ in range(80)] + [None, ""]
