@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -113,6 +114,8 @@ class Codec:
             return left or right
         if self.fits(left[-1], right[0]):
             return left + right
+        if len(left) <= 2 and len(right) <= 2:  # the first window is all there is
+            return self.merged(b"".join([self.bytes_of[i] for i in left + right]))
         size = 2
         while True:
             a, b = left[-size:], right[:size]
@@ -140,7 +143,7 @@ class Codec:
         if ids is None:
             piece = match.encode("utf-8")
             whole = self.ranks.get(piece)
-            ids = np.array([whole] if whole is not None else self.halved(piece), np.int32).tobytes()
+            ids = array("i", (whole,) if whole is not None else self.halved(piece)).tobytes()
         if len(match) <= KNOWN_LENGTH:
             if len(self.known) >= KNOWN:
                 self.known, self.older = {}, self.known
