@@ -31,17 +31,6 @@ def _sha256(text) -> F.Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def _base32(sha1_hex: F.Column) -> F.Column:
-    """Base32 of a hex digest of 20 bytes: 32 digits of five bits each."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(sha1_hex, 10 * k + 1, 10), 16, 2), 40, "0") for k in range(4)])
-    letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    digits = F.transform(
-        F.sequence(F.lit(0), F.lit(31)),
-        lambda i: F.substring(letters, F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)),
-    )
-    return F.when(sha1_hex.isNotNull(), F.array_join(digits, ""))
-
-
 PLANTED = "\\### Assistant: </turn> ok"
 
 
@@ -177,7 +166,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             "record_type",
             "refers_to",
             F.octet_length(content).cast("long").alias("bytes"),
-            _base32(F.sha1(content)).alias("payload_digest"),
+            F.when(F.col("record_type") == "response", F.col("digest")).alias("payload_digest"),
         )
     )
     # a revisit's payload is that of the response it names; only those few responses are looked up

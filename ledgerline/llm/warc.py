@@ -83,7 +83,9 @@ def parsed(raw: bytes) -> dict:
         "page_id": int(number("WARC-Record-ID")) if number("WARC-Record-ID") else None,
         "record_type": fields["WARC-Type"],
         "refers_to": int(number("WARC-Refers-To")) if number("WARC-Refers-To") else None,
-        "digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+        "digest": payload_digest(payload)
+        if fields["WARC-Type"] == "response"
+        else fields["WARC-Payload-Digest"].removeprefix("sha1:"),
         "payload": payload,
     }
 
@@ -176,7 +178,8 @@ def coalesced(spans: list[tuple[int, int]], gap: int = GAP, most: int = READ) ->
 
 def read_records(index: DataFrame, gap: int = GAP, task_bytes: int = TASK) -> DataFrame:
     """The records of the given index rows, read back: page_id, record_type, refers_to, digest,
-    payload (of responses).  A task holds one joined range and its records."""
+    payload (of responses).  The digest of a response is that of the payload read, a revisit's that
+    of its header.  A task holds one joined range and some ``READ`` bytes of its payloads."""
     total = index.agg(F.sum("length")).first()[0] or 0
     tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // task_bytes))
 
@@ -189,11 +192,16 @@ def read_records(index: DataFrame, gap: int = GAP, task_bytes: int = TASK) -> Da
                 with store.open_input_file(path) as file:
                     for start, end in coalesced(spans, gap):
                         file.seek(start)
-                        chunk, records = file.read(end - start), []
+                        chunk, records, held = file.read(end - start), [], 0
                         while at < len(spans) and sum(spans[at]) <= end:
                             offset, length = spans[at]
-                            records.append(parsed(zlib.decompress(chunk[offset - start : offset - start + length], 31)))
+                            record = parsed(zlib.decompress(chunk[offset - start : offset - start + length], 31))
+                            records.append(record)
+                            held += len(record["payload"])
                             at += 1
+                            if held > READ:
+                                yield pa.RecordBatch.from_pylist(records, schema=_RECORD)
+                                records, held = [], 0
                         yield pa.RecordBatch.from_pylist(records, schema=_RECORD)
 
     spread = index.select("file", "offset", "length").repartition(tasks, "file")

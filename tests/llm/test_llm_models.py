@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import bpe, embedding_dedup, langid, mixing, queries, toxicity, warc
+from ledgerline.llm import bpe, embedding_dedup, langid, mixing, toxicity, warc
 from ledgerline.llm.queries import QUERIES
 from ledgerline.session import ship_package
 
@@ -243,11 +243,10 @@ def test_many_archives_are_read_by_many_tasks(spark):
     assert {(r["page_id"], r["payload"].decode()) for r in read.collect()} == {(i, f"x{i}" * 500) for i in range(60)}
 
 
-def test_the_digest_column_is_base32_of_sha1(spark):
-    texts = ["", "a", "längerer Text"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = {r["t"]: r["d"] for r in df.select("t", queries._base32(F.sha1(F.encode("t", "UTF-8"))).alias("d")).collect()}
-    assert got == {t: warc.payload_digest(t.encode()) for t in texts}
+def test_digests_of_responses_are_those_of_the_payload_read():
+    raw = warc.record(1, "response", None, None, b"abc").replace(b"abc\r\n\r\n", b"abd\r\n\r\n")
+    assert warc.parsed(raw)["digest"] == warc.payload_digest(b"abd")
+    assert warc.parsed(warc.record(2, "revisit", 1, None, b"abc"))["digest"] == warc.payload_digest(b"abc")
 
 
 def test_archive_query_against_brute_force(spark):
