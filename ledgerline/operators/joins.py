@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.functions.text import contains_any
 from ledgerline.operators.columns import quoted
@@ -196,47 +196,104 @@ def members_of(df: DataFrame, key: str, elements: str) -> DataFrame:
     )
 
 
+def set_classes(rows: DataFrame) -> DataFrame:
+    """(``set_id``, ``class_id``, ``members``) per set of distinct (``set_id``, ``element``) rows.
+
+    Equal sets share the smallest id among them as their class.  They are told by their size and
+    128 bits of their elements' hashes, so no set is gathered; copies of one set, however many,
+    are joined to the one row of their class.
+    """
+    prints = rows.groupBy("set_id").agg(
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("element")).alias("a"),
+        F.bit_xor(F.xxhash64(F.lit("second"), "element")).alias("b"),
+    )
+    first = prints.groupBy("members", "a", "b").agg(F.min("set_id").alias("class_id"))
+    return settled(prints.join(first, ["members", "a", "b"]).select("set_id", "class_id", "members"))
+
+
+def _rarest(wanted: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(``small``, ``members``, ``first``, ``second``): the two rarest elements of every small set
+    whose elements all occur; ``second`` is null in sets of one element."""
+    order = Window.partitionBy("small").orderBy("sets", "element")
+    ranked = wanted.join(frequency, "element").withColumn("n", F.row_number().over(order))
+    whole = F.count("*") == F.first("members")
+    return (
+        ranked.groupBy("small")
+        .agg(
+            F.first("members").alias("members"),
+            F.max(F.when(F.col("n") == 1, F.col("element"))).alias("first"),
+            F.max(F.when(F.col("n") == 2, F.col("element"))).alias("second"),
+            whole.alias("whole"),
+        )
+        .filter("whole")
+        .drop("whole")
+    )
+
+
 def subset_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id: str) -> DataFrame:
     """All pairs whose small set lies inside the large set; sets are (id, ``element``) rows.
 
-    A small set can only lie inside sets that hold its rarest element, so that element alone
-    makes the candidates: an element that nearly every set has (a client number, a language)
-    never multiplies pairs unless it is all a set consists of.  Candidates are then verified
-    by counting the small set's other elements found in the large one, as narrow rows of ids.
-    No set is ever gathered in one place; the rows and the rarest elements are written down, as
-    several joins read them.  An empty small set has no rows and pairs with nothing.
+    Equal sets are compared once, as classes, and spread out at the end.  A small set can only lie
+    inside sets that hold its two rarest elements, so candidates are the large sets that hold such
+    a pair, looked up once per distinct pair: an element that nearly every set has (a client
+    number, a language) never multiplies candidates by itself unless it is all a set consists of.
+    Candidates of sets of three and more elements are verified by counting the small set's other
+    elements found in the large one, as narrow rows of ids.  No set is ever gathered in one place;
+    tables that several joins read are written down.  An empty small set has no rows and pairs
+    with nothing.
     """
-    held = settled(large.select(quoted(large_id).alias("large_id"), "element").distinct())
-    wanted = settled(small.select(quoted(small_id).alias("small_id"), "element").distinct())
+    held_rows = settled(large.select(quoted(large_id).alias("set_id"), "element").distinct())
+    wanted_rows = settled(small.select(quoted(small_id).alias("set_id"), "element").distinct())
+    large_sets, small_sets = set_classes(held_rows), set_classes(wanted_rows)
+
+    def of_classes(rows: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        chosen = sets.filter("set_id = class_id").select("set_id", "members")
+        return settled(rows.join(chosen, "set_id").withColumnRenamed("set_id", name))
+
+    held = of_classes(held_rows, large_sets, "large").withColumnRenamed("members", "size")
+    wanted = of_classes(wanted_rows, small_sets, "small")
     frequency = held.groupBy("element").agg(F.count("*").alias("sets"))
-    rarest = settled(
-        wanted.join(frequency, "element", "left")
-        .groupBy("small_id")
-        .agg(
-            F.count("*").alias("members"),
-            F.min_by("element", F.struct(F.coalesce("sets", F.lit(0)), "element")).alias("element"),
-        )
+    rarest = settled(_rarest(wanted, frequency))
+
+    single = rarest.filter("second is null").select("small", F.col("first").alias("element"))
+    found = single.join(held, "element").select("small", "large")
+    both = rarest.filter("second is not null").select("first", "second").distinct()
+    holding = (
+        both.join(held.withColumnRenamed("element", "first"), "first")
+        .join(held.select("large", F.col("element").alias("second")), ["large", "second"], "left_semi")
+        .select("first", "second", "large", "size")
+    )
+    candidates = settled(
+        rarest.join(holding, ["first", "second"])
+        .filter("members <= size")
+        .select("small", "large", "members")
     )
-    candidates = rarest.join(held, "element").select("small_id", "large_id", "members")
     others = (
-        wanted.join(rarest.select("small_id", F.col("element").alias("rarest")), "small_id")
-        .filter("element != rarest")
-        .drop("rarest")
+        wanted.filter("members > 2")
+        .select("small", "element")
+        .join(rarest.select("small", "first", "second"), "small")
+        .filter("element not in (first, second)")
+        .select("small", "element")
     )
     verified = (
-        candidates.filter("members > 1")
-        .join(others, "small_id")
-        .join(held, ["large_id", "element"], "left_semi")
-        .groupBy("small_id", "large_id", "members")
-        .agg(F.count("*").alias("found"))
-        .filter("found = members - 1")
+        candidates.filter("members > 2")
+        .join(others, "small")
+        .join(held.select("large", "element"), ["large", "element"], "left_semi")
+        .groupBy("small", "large", "members")
+        .agg(F.count("*").alias("hits"))
+        .filter("hits = members - 2")
+        .select("small", "large")
     )
-    pairs = candidates.filter("members = 1").unionByName(verified.drop("found"))
+    pairs = found.unionByName(candidates.filter("members = 2").select("small", "large")).unionByName(verified)
     same = small_id == large_id
-    return pairs.select(
-        F.col("small_id").alias(f"small_{small_id}" if same else small_id),
-        F.col("large_id").alias(f"large_{large_id}" if same else large_id),
+    of_small = small_sets.select(
+        F.col("class_id").alias("small"), F.col("set_id").alias(f"small_{small_id}" if same else small_id)
+    )
+    of_large = large_sets.select(
+        F.col("class_id").alias("large"), F.col("set_id").alias(f"large_{large_id}" if same else large_id)
     )
+    return pairs.join(of_small, "small").join(of_large, "large").drop("small", "large")
 
 
 def partner_columns(

@@ -195,6 +195,27 @@ def test_subset_pairs_equal_brute_force(spark, rows):
     assert rows(got) == want
 
 
+def test_subset_pairs_of_copies_single_elements_and_foreign_elements(spark, rows):
+    rng = random.Random(6)
+    small = [(i, ["a", "b"]) for i in range(30)] + [(100 + i, ["a"]) for i in range(5)]
+    small += [(200 + i, rng.sample("abcdefgh", rng.randint(1, 5))) for i in range(60)] + [(300, ["a", "zz"]), (301, [])]
+    large = [(i, ["a", "b", "c"]) for i in range(20)] + [(50 + i, rng.sample("abcdefgh", rng.randint(1, 7))) for i in range(40)]
+
+    def sets(data):
+        return joins.members_of(spark.createDataFrame(data, "id long, e array<string>"), "id", "e")
+
+    got = joins.subset_pairs(sets(small), sets(large), "id", "id")
+    assert got.columns == ["small_id", "large_id"]
+    assert {tuple(r) for r in got.collect()} == {(s, l) for s, x in small for l, y in large if x and set(x) <= set(y)}
+    assert got.count() == len(rows(got))
+
+
+def test_equal_sets_form_one_class(spark):
+    data = [(i, e) for i in range(40) for e in ("x", "y")] + [(99, "x")]
+    classes = joins.set_classes(spark.createDataFrame(data, "set_id long, element string"))
+    assert {(r["class_id"], r["members"]) for r in classes.collect()} == {(0, 2), (99, 1)} and classes.count() == 41
+
+
 def test_partner_columns(spark, rows):
     relations = spark.createDataFrame(
         [("c1", "p2", "A1"), ("c1", "p1", "A1"), ("c1", "p3", "A2"), ("c2", "c2", "A1"), ("c3", "none", "A1"), ("c4", "p1", "ZZ")],
