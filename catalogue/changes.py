@@ -15,7 +15,7 @@ from ledgerline.session import scratch_folder as scratch
 from ledgerline.sources.readers import read_components, read_stream, read_tab_file
 from ledgerline.sources.writers import write_batch, write_outputs
 from ledgerline.streaming.changelog import current_rows, read_state, reenrich, run_changelog
-from ledgerline.streaming.windows import closed_windows, tumbling_totals
+from ledgerline.streaming.windows import closed_windows, late_rows, tumbling_totals
 
 
 def changes_of(events):
@@ -80,6 +80,25 @@ def events_tumbling_stream(spark, sf):
     )
 
 
+def events_late_rows(spark, sf):
+    """Events that arrive in three deliveries, ten days each; every tenth event comes one or two
+    deliveries after its own.  What comes after its window was closed is counted apart."""
+    events, folder = table(spark, sf, "events"), scratch(spark)
+    day, slow = F.dayofmonth("ts"), F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 20 / 10 + 1).otherwise(0)
+    delivered = events.withColumn("delivery", F.least(F.floor((day - 1) / 10) + slow, F.lit(2)))
+    for number in range(3):
+        delivered.where(F.col("delivery") == number).drop("delivery").write.mode("append").parquet(f"{folder}/in")
+        windows = closed_windows(
+            spark, f"{folder}/in", events.schema, f"{folder}/out", "ts", "value", ["event_type"], "6 hours", "1 hour",
+            files_per_batch=1_000_000, close=number == 2,
+        )
+    late = tumbling_totals(
+        late_rows(spark, f"{folder}/out").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "value", ["event_type"], "6 hours"
+    )
+    both = windows.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return both.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 def changed_lookup_rows(spark, sf):
     """Recent orders with their customer, and earlier orders again where the customer changed."""
     orders = table(spark, sf, "orders").select(
@@ -225,6 +244,15 @@ _TUMBLING = """SELECT time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP)) AS win
   time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP)) + INTERVAL 6 HOUR AS window_end, event_type,
   count(*) AS event_count, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total_value FROM events GROUP BY ALL"""
 
+_LATE = """WITH e AS (SELECT *, CAST(ts AS TIMESTAMP) AS t, time_bucket(INTERVAL 6 HOUR, CAST(ts AS TIMESTAMP)) AS window_start,
+    least((dayofmonth(CAST(ts AS TIMESTAMP)) - 1) // 10 + CASE WHEN event_id % 10 = 0 THEN event_id % 20 // 10 + 1 ELSE 0 END, 2) AS delivery FROM events),
+  seen AS (SELECT delivery, max(max(t)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM e GROUP BY delivery)
+SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, event_type, count(*) AS event_count,
+  CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total_value,
+  coalesce(window_start + INTERVAL 6 HOUR <= before - INTERVAL 1 HOUR, false) AS late
+FROM e JOIN seen USING (delivery) GROUP BY ALL"""
+
 _LATEST = f"""WITH {_CHANGES} SELECT * FROM changes
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
@@ -239,6 +267,7 @@ QUERIES = {
     "changelog_stream": (changelog_stream, f"SELECT * FROM ({_LATEST}) WHERE mode <> 'D'"),
     "events_tumbling": (events_tumbling, _TUMBLING),
     "events_tumbling_stream": (events_tumbling_stream, _TUMBLING),
+    "events_late_rows": (events_late_rows, _LATE),
     "changed_lookup_rows": (
         changed_lookup_rows,
         """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline import session
 from ledgerline.sources import readers, writers
 from ledgerline.streaming import changelog
-from ledgerline.streaming.windows import tumbling_totals
+from ledgerline.streaming.windows import closed_windows, late_rows, tumbling_totals
 
 SCHEMA = "k string, t int, n int, mode string, v string"
 LOG = [
@@ -102,6 +102,27 @@ def test_tumbling_windows_of_a_stream_drop_late_rows(spark, tmp_path):
     assert got[10] == (2, 3.0) and got[15] == (1, 4.0)
 
 
+def test_late_rows_are_kept_apart_and_none_is_lost(spark, rows, tmp_path):
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/out"
+    schema = spark.createDataFrame([], "ts timestamp, v double").schema
+    base = dt.datetime(2024, 1, 1, 10)
+    hour = dt.timedelta(hours=1)
+
+    def call(batch, close=False):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        windows = closed_windows(spark, source, schema, folder, "ts", "v", width="1 hour", lateness="1 hour", close=close)
+        return {r["window_start"].hour: (r["event_count"], r["total_value"]) for r in windows.collect()}
+
+    assert call([]) == {}
+    assert call([(base, 1.0), (base + 59 * hour / 60, 2.0), (None, 9.0)]) == {}
+    assert call([(base + 5 * hour, 4.0), (base + hour / 2, 16.0)]) == {10: (3, 19.0)}  # not late: nothing had closed it
+    assert call([(base, 8.0), (base + 4 * hour, 1.0)]) == {10: (3, 19.0)}
+    assert rows(late_rows(spark, folder)) == [(base, 8.0)]
+    assert call([], close=True) == {10: (3, 19.0), 14: (1, 1.0), 15: (1, 4.0)}
+    assert call([(base + 5 * hour, 32.0)], close=True) == {10: (3, 19.0), 14: (1, 1.0), 15: (1, 4.0)}
+    assert rows(late_rows(spark, folder), "v") == [(32.0,), (8.0,)]
+
+
 def test_tab_separated_files(spark, rows, tmp_path):
     (tmp_path / "Products.txt").write_bytes(b"ApplNo\tDrugName\tTECode\n001\tab\xffc\tX\n002\tshort\n003\tlong\ty\textra\n")
     (tmp_path / "TE.txt").write_bytes(b"ApplNo\tMarketingStatusID\n1\t2\n")
