@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from catalogue.staging import _CLEANED, _CURRENT, _raw_orders, _raw_texts, SOURCE, metadata
 from catalogue.tables import table
+from ledgerline.operators.quality import ExpectationFailed, filled_columns, not_empty, unique_keys
 from ledgerline.plans.layer import Layer
 from ledgerline.session import scratch_folder as scratch
-from ledgerline.streaming.runs import MetadataState
+from ledgerline.streaming.runs import MetadataState, Output
 
 DAYS = ("19970101", "19990101")  # the orders come in three parts
 START = dt.datetime(2030, 1, 1)
@@ -138,6 +139,30 @@ def incremental_customization(spark, sf):
     return kept.groupBy(F.col(f"`{segment}`").alias("segment")).agg(F.count("*").alias("row_count"))
 
 
+def expected_outputs(spark, sf):
+    """Six runs of outputs with checks: items by keys that repeat (a warning), without a row, with
+    null keys and with repeated keys that must not be (all three stopped), then in good order."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    attempts = [
+        (lines, [not_empty(), unique_keys(["l_orderkey"])]),
+        (lines, [not_empty(), unique_keys(["l_orderkey", "l_linenumber"])]),
+        (lines.filter("l_quantity < 0"), [not_empty()]),
+        (lines.withColumn("l_orderkey", F.expr("nullif(l_linenumber, 1)")), [filled_columns(["l_orderkey"])]),
+        (lines, [not_empty(), unique_keys(["l_orderkey"], fails=True)]),
+        (lines.select("l_orderkey").distinct(), [not_empty(), filled_columns(["l_orderkey"]), unique_keys(["l_orderkey"], fails=True)]),
+    ]
+    output, rows = Output(scratch(spark)), []
+    for number, (df, expectations) in enumerate(attempts, 1):
+        stopped = ""
+        try:
+            output.commit(df, None, output.last(spark), "snapshot", now=_at(number), expectations=expectations)
+        except ExpectationFailed as e:
+            stopped = str(e)
+        mark = output.last(spark)
+        rows.append((number, stopped, "; ".join(mark.warnings), mark.run, output.read(spark).count()))
+    return spark.createDataFrame(rows, "attempt long, stopped string, warnings string, run long, rows_readable long")
+
+
 _BEFORE = "strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d')"
 
 _MARKS = f"""WITH n AS (SELECT count(*) FILTER ({_BEFORE} < '{DAYS[0]}') AS a,
@@ -150,7 +175,19 @@ UNION ALL SELECT 4, 'added', 15, c, a + b + c FROM n
 UNION ALL SELECT 5, 'snapshot', 17, a + b + c + d, a + b + c + d FROM n
 UNION ALL SELECT 6, 'snapshot', 17, a + b + c + d, a + b + c + d FROM n"""
 
+_EXPECTED = """WITH n AS (SELECT count(*) AS a, count(DISTINCT l_orderkey) AS b FROM lineitem),
+r AS (SELECT CASE WHEN count(DISTINCT l_orderkey) < count(*) THEN 'unique: l_orderkey' ELSE '' END AS w FROM lineitem),
+k AS (SELECT CASE WHEN count(*) > 0 THEN 'unique: l_orderkey, l_linenumber' ELSE '' END AS w
+  FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
+SELECT 1::BIGINT AS attempt, '' AS stopped, r.w AS warnings, 1::BIGINT AS run, a AS rows_readable FROM n, r
+UNION ALL SELECT 2, '', k.w, 2, a FROM n, k
+UNION ALL SELECT 3, 'not empty', k.w, 2, a FROM n, k
+UNION ALL SELECT 4, 'filled: l_orderkey', k.w, 2, a FROM n, k
+UNION ALL SELECT 5, r.w, k.w, 2, a FROM n, k, r
+UNION ALL SELECT 6, '', '', 3, b FROM n"""
+
 QUERIES = {
+    "expected_outputs": (expected_outputs, _EXPECTED),
     "incremental_current": (incremental_current, f"WITH {_CURRENT} SELECT * FROM current_rows"),
     "incremental_added": (
         incremental_added,

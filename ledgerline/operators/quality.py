@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ledgerline.operators.columns import quoted
 
@@ -23,6 +24,58 @@ def keys_are_unique(df: DataFrame, keys: Sequence[str]) -> bool:
     return key_violations(df, keys).isEmpty()
 
 
+class ExpectationFailed(ValueError):
+    """An output did not hold what it must."""
+
+
+@dataclass(frozen=True)
+class Expectation:
+    """What an output has to hold: an aggregate over its rows, or keys that occur once.
+
+    ``fails`` stops the run that writes the output; otherwise the run is committed with a warning.
+    """
+
+    name: str
+    holds: Column | None = None  # a boolean aggregate without DISTINCT
+    unique: tuple[str, ...] = ()
+    fails: bool = True
+
+
+def not_empty(fails: bool = True) -> Expectation:
+    return Expectation("not empty", F.count(F.lit(1)) > 0, fails=fails)
+
+
+def filled_columns(columns: Sequence[str], fails: bool = True) -> Expectation:
+    """No null in any of the columns."""
+    missing = F.count_if(F.greatest(F.lit(False), *[quoted(c).isNull() for c in columns]))
+    return Expectation(f"filled: {', '.join(columns)}", missing == 0, fails=fails)
+
+
+def unique_keys(keys: Sequence[str], fails: bool = False) -> Expectation:
+    return Expectation(f"unique: {', '.join(keys)}", unique=tuple(keys), fails=fails)
+
+
+def write_expected(
+    df: DataFrame, write: Callable[[DataFrame], DataFrame], expectations: Sequence[Expectation]
+) -> list[str]:
+    """Write rows and tell what they do not hold; raises if that must stop the run.
+
+    Aggregates are observed on the write itself, so nothing is computed twice.  Uniqueness needs
+    the keys exchanged: it reads the key columns, and only those, of the table ``write`` returns.
+    """
+    observed = {f"e{i}": e for i, e in enumerate(expectations) if e.holds is not None}
+    observation = Observation() if observed else None
+    watched = df.observe(observation, *[e.holds.alias(n) for n, e in observed.items()]) if observed else df
+    written = write(watched)
+    seen = observation.get if observation else {}
+    broken = [e for n, e in observed.items() if not seen[n]]
+    broken += [e for e in expectations if e.unique and not keys_are_unique(written, e.unique)]
+    failed = [e.name for e in broken if e.fails]
+    if failed:
+        raise ExpectationFailed("; ".join(failed))
+    return [e.name for e in expectations if any(e is b for b in broken)]
+
+
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{name} is empty")

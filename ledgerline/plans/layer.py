@@ -5,7 +5,8 @@
 Every job keeps its output as runs with marks (``ledgerline.streaming.runs``) and decides by
 itself whether to read everything or what was added since its last run.  The enriched stage
 joins added rows with all customization rows, and earlier rows again with the customization rows
-that were added.  The current stage folds what is new into the state it wrote last.
+that were added.  The current stage folds what is new into the state it wrote last.  A repeated
+primary key is a warning in the mark of an enriched run; an empty state stops its run.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.metadata import lookup
 from ledgerline.metadata.schemas import Metadata
+from ledgerline.operators.quality import not_empty, unique_keys
 from ledgerline.plans.staging import SourceSpec, cleaned, current, enriched, renamed
 from ledgerline.streaming.runs import Landing, Mark, MetadataState, Output, run_incremental
 
@@ -70,7 +72,7 @@ class Layer:
                 df = enriched(added, self.source, table, metadata, tables, earlier, changed)
             return renamed(df, table, metadata, others)
 
-        return run_incremental(spark, self.output("enriched", table), inputs, build, now=now)
+        return run_incremental(spark, self.output("enriched", table), inputs, build, now=now, expectations=[unique_keys(["primary_key"])])
 
     def _earlier(self, spark: SparkSession, whole: DataFrame, cleaned_rows: Output, table: str) -> DataFrame:
         """Cleaned rows that the enriched output has seen already."""
@@ -93,4 +95,4 @@ class Layer:
             rows = spark.read.parquet(*[changes.data(n) for n in range(fold_from, told.run + 1)])
             previous = state.read(spark)
         df = current(rows.select(*[f"`{c}`" for c in told.columns]), self.source, table, metadata, previous)
-        return state.commit(df, None, last, "state", str(told.run), now)
+        return state.commit(df, None, last, "state", str(told.run), now, [not_empty()])

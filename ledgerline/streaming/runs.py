@@ -22,11 +22,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.operators.quality import Expectation, write_expected
 from ledgerline.sources.readers import existing
 from ledgerline.streaming.changelog import metadata_is_newer, must_rebuild
 
 MARK = (
-    "run long, first_run long, kind string, columns array<string>, committed_at timestamp_ntz, version string"
+    "run long, first_run long, kind string, columns array<string>, committed_at timestamp_ntz, version string,"
+    " warnings array<string>"
 )
 FILES = "input string, path string, modified timestamp, length long"
 
@@ -39,6 +41,7 @@ class Mark:
     columns: tuple[str, ...]
     committed_at: dt.datetime
     version: str | None  # of the metadata, or of the changes folded in
+    warnings: tuple[str, ...] = ()  # expectations that the rows of this run do not meet
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,10 @@ class Output:
         if found is None:
             return []
         return [
-            Mark(r["run"], r["first_run"], r["kind"], tuple(r["columns"]), r["committed_at"], r["version"])
+            Mark(
+                r["run"], r["first_run"], r["kind"], tuple(r["columns"]), r["committed_at"], r["version"],
+                tuple(r["warnings"] or ()),
+            )
             for r in found.orderBy("run").collect()
         ]
 
@@ -98,9 +104,17 @@ class Output:
         kind: str,
         version: str | None = None,
         now: dt.datetime | None = None,
+        expectations: Sequence[Expectation] = (),
     ) -> Mark:
+        """Write a run; rows that fail an expectation stay without a mark, so nobody sees them."""
         spark = df.sparkSession
         number = last.run + 1 if last else 1
+
+        def write(rows: DataFrame) -> DataFrame:
+            rows.write.mode("overwrite").parquet(self.data(number))
+            return spark.read.schema(df.schema).parquet(self.data(number))
+
+        warnings = write_expected(df, write, expectations)
         mark = Mark(
             number,
             last.first_run if last and kind == "added" else number,
@@ -108,11 +122,11 @@ class Output:
             tuple(df.columns),
             (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).replace(microsecond=0),
             version,
+            tuple(warnings),
         )
-        df.write.mode("overwrite").parquet(self.data(number))
         listed = spark.createDataFrame([], FILES) if files is None else files
         listed.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/files/{number:09d}")
-        row = (mark.run, mark.first_run, kind, list(mark.columns), mark.committed_at, version)
+        row = (mark.run, mark.first_run, kind, list(mark.columns), mark.committed_at, version, warnings)
         spark.createDataFrame([row], MARK).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/marks/{number:09d}")
         return mark
 
@@ -168,6 +182,7 @@ def run_incremental(
     metadata: MetadataState | None = None,
     incremental: bool = True,
     now: dt.datetime | None = None,
+    expectations: Sequence[Expectation] = (),
 ) -> Mark | None:
     """One run; None if there was nothing new to read.
 
@@ -199,7 +214,7 @@ def run_incremental(
             df = build(_frames(spark, files, list(inputs)), True)
         return output.commit(
             df, files if snapshot else fresh, last, "snapshot" if snapshot else "added",
-            metadata.version if metadata else None, now,
+            metadata.version if metadata else None, now, expectations,
         )
     finally:
         files.unpersist()

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from ledgerline.operators.quality import ExpectationFailed, filled_columns, not_empty, unique_keys
 from ledgerline.streaming import changelog
 from ledgerline.streaming.runs import Landing, MetadataState, Output, run_incremental
 
@@ -33,6 +34,29 @@ def job(spark, tmp_path):
     return run, landing, output, built
 
 
+def test_a_run_that_fails_its_expectations_is_not_seen(spark, job):
+    run, landing, output, built = job
+    land(spark, landing.path, [(1, "a"), (1, "b"), (2, None)])
+    mark = run(now=at(0), expectations=[not_empty(), unique_keys(["k"]), filled_columns(["v"], fails=False)])
+    assert mark.warnings == output.last(spark).warnings == ("unique: k", "filled: v")
+    land(spark, landing.path, [(3, None)])
+    for expectations in ([filled_columns(["k", "v"])], [unique_keys(["k"], fails=True), filled_columns(["v"])]):
+        with pytest.raises(ExpectationFailed, match="filled: "):
+            run(now=at(1), expectations=expectations)
+        assert output.last(spark) == mark and output.read(spark).count() == 3
+    assert run(now=at(2)).run == 2 and output.read(spark).count() == 4 and not output.last(spark).warnings
+
+
+def test_an_empty_output_is_stopped(spark, tmp_path):
+    output = Output(f"{tmp_path}/out")
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    first = output.commit(df, None, None, "snapshot", expectations=[not_empty()])
+    for empty in (df.filter("k > 1"), df.limit(0), spark.createDataFrame([], df.schema)):
+        with pytest.raises(ExpectationFailed, match="not empty"):
+            output.commit(empty, None, first, "snapshot", expectations=[not_empty()])
+    assert output.read(spark).count() == 1
+
+
 def test_a_run_reads_what_was_added(spark, job):
     run, landing, output, built = job
     assert run(now=at(0)) is None and output.read(spark) is None and output.read(spark, "previous") is None
