@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.facts import PARTNERS, RELATIONS, customers_of, relations_of
 from catalogue.tables import AS_OF, HORIZONS, ITEMS, compared, items, ranked_rfm_sql, spec, table
-from catalogue.time import _rolling_sql
+from catalogue.time import _rolling_sql, pre_aggregate
 from ledgerline.functions.dates import months_before
 from ledgerline.operators.rfm import label_sets, InvoiceColumns
 from ledgerline.operators.sets import union_by_name
@@ -22,7 +22,7 @@ from ledgerline.plans.dimensions import (
     tidy_passthrough,
     vendors,
 )
-from ledgerline.plans.series import LEVELS, UNUSED_LEVELS, row_filters, series_metrics, series_pre_aggregate
+from ledgerline.plans.series import LEVELS, UNUSED_LEVELS, row_filters, series_metrics
 
 _H = list(HORIZONS)
 _SPEC = dict(horizons=_H)
@@ -310,10 +310,6 @@ FROM nation LEFT JOIN m ON m.primary_key = {value}"""
 
 
 _LEVELS = {l.group_type: l for l in (*LEVELS, *UNUSED_LEVELS)}
-_KEYS = [
-    "product_key", "sold_to_key", "bill_to_key", "ship_to_key", "account_key",
-    "manufacturer_key", "specialty_flag", "source_flag",
-]
 _COLUMNS = {"product": "product_key", "sold_to": "sold_to_key", "bill_to": "bill_to_key", "account": "account_key"}
 
 
@@ -321,8 +317,7 @@ def _series(level_name: str, filter_id: str):
     level = _LEVELS[level_name]
 
     def build(spark, sf):
-        source = items(spark, sf, since=months_before(AS_OF, 6))
-        daily = series_pre_aggregate(source, _KEYS, AS_OF, prune=False)
+        daily = pre_aggregate(spark, sf, prune=True)
         return series_metrics(daily, level, filter_id, row_filters()[filter_id], scale=4)
 
     condition = {"all": "true", "pd_only": "NOT specialty_flag", "spd_only": "specialty_flag"}[filter_id]

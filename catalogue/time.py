@@ -8,45 +8,59 @@ from catalogue.tables import AS_OF, ITEMS, items, table
 from ledgerline.functions.exact import exact_sum
 from ledgerline.functions.dates import date_parts, months_before
 from ledgerline.operators.blocks import block_labels, transaction_blocks
-from ledgerline.operators.filters import recent
+from ledgerline.plans.series import series_pre_aggregate
 from ledgerline.operators.series import (
     change_intervals,
-    daily_pre_aggregate,
     daily_series,
     rolling_trend,
     union_of_sets,
 )
 
 _KEYS = [
-    "product_key", "sold_to_key", "bill_to_key", "ship_to_key", "account_key",
+    "product_key", "trade_name", "ean_code", "drug_code",
+    "sold_to_key", "bill_to_key", "ship_to_key", "account_key", "affiliate_a1_key", "affiliate_a2_key", "affiliate_a3_key",
     "manufacturer_key", "specialty_flag", "source_flag",
-]
+]  # and four parts of the date
 _SETS = {"product": "product_key", "sold_to": "sold_to_key", "bill_to": "bill_to_key", "account": "account_key"}
 _CUTOFF = months_before(AS_OF, 6)
 
 
-def _pre_aggregate(spark, sf):
-    return daily_pre_aggregate(
-        recent(items(spark, sf, since=_CUTOFF), "billing_date", AS_OF, 6),
-        _KEYS, "billing_date", "item_key", "billed_quantity", "sales_value",
-        _SETS, date_parts(F.col("billing_date")),
+def pre_aggregate(spark, sf, prune=False):
+    """Daily figures by all eighteen columns; codes and affiliates are derived from the keys, some
+    are missing, and no customer has an affiliate of the third kind, so pruning takes that away."""
+    product, customer = F.col("product_key").cast("long"), F.col("sold_to_key").cast("long")
+    keyed = items(spark, sf, products=True, since=_CUTOFF).withColumns(
+        {
+            "ean_code": F.when(product % 4 != 0, F.concat(F.lit("400"), F.lpad("product_key", 10, "0"))),
+            "drug_code": F.when(product % 3 != 0, F.lpad("product_key", 11, "0")),
+            "affiliate_a1_key": (customer % 7).cast("string"),
+            "affiliate_a2_key": F.when(customer % 2 == 0, (customer % 11).cast("string")),
+            "affiliate_a3_key": F.when(customer < 0, F.col("sold_to_key")),
+        }
     )
+    return series_pre_aggregate(keyed, _KEYS, AS_OF, prune=prune)
 
 
 def ts_pre_agg(spark, sf):
-    daily = _pre_aggregate(spark, sf)
+    daily = pre_aggregate(spark, sf, prune=True)
     return daily.withColumns({f"{n}_set": F.array_join(f"{n}_set", "|") for n in _SETS})
 
 
-_PRE = f"""pre AS (SELECT {', '.join(_KEYS)},
+_KEYED = """keyed AS (SELECT *, CASE WHEN CAST(product_key AS BIGINT) % 4 <> 0 THEN '400' || lpad(product_key, 10, '0') END AS ean_code,
+    CASE WHEN CAST(product_key AS BIGINT) % 3 <> 0 THEN lpad(product_key, 11, '0') END AS drug_code,
+    CAST(CAST(sold_to_key AS BIGINT) % 7 AS VARCHAR) AS affiliate_a1_key,
+    CASE WHEN CAST(sold_to_key AS BIGINT) % 2 = 0 THEN CAST(CAST(sold_to_key AS BIGINT) % 11 AS VARCHAR) END AS affiliate_a2_key,
+    CAST(NULL AS VARCHAR) AS affiliate_a3_key FROM items)"""
+
+_PRE = f"""{_KEYED}, pre AS (SELECT {', '.join(_KEYS)},
     CAST(year(billing_date) AS INTEGER) AS billing_year, CAST(month(billing_date) AS INTEGER) AS billing_month,
     CAST(weekofyear(billing_date) AS INTEGER) AS billing_weekofyear, CAST(dayofyear(billing_date) AS INTEGER) AS billing_dayofyear,
     billing_date, count(item_key) AS item_count, CAST(sum(CAST(billed_quantity AS DECIMAL(18, 4))) AS DOUBLE) AS billed_quantity,
     CAST(sum(CAST(sales_value AS DECIMAL(18, 4))) AS DOUBLE) AS sales_value
-  FROM items WHERE billing_date >= DATE '{_CUTOFF}' GROUP BY ALL)"""
+  FROM keyed WHERE billing_date >= DATE '{_CUTOFF}' GROUP BY ALL)"""
 
 _PRE_SQL = f"""WITH {ITEMS}, {_PRE}
-SELECT *, sales_value / nullif(billed_quantity, 0) AS avg_unit_price,
+SELECT * EXCLUDE (affiliate_a3_key), sales_value / nullif(billed_quantity, 0) AS avg_unit_price,
   {', '.join(f"coalesce({c}, '') AS {n}_set, CAST({c} IS NOT NULL AS INTEGER) AS {n}_count" for n, c in _SETS.items())},
   concat_ws('_||_', {', '.join(f'CAST({k} AS VARCHAR)' for k in _KEYS)}, billing_year, billing_month, billing_weekofyear, billing_dayofyear) AS _group_id
 FROM pre"""
@@ -54,7 +68,7 @@ FROM pre"""
 
 def ts_set_union(spark, sf):
     sets = ["sold_to_set", "bill_to_set", "account_set"]
-    merged = union_of_sets(_pre_aggregate(spark, sf), ["billing_date", "product_key"], sets)
+    merged = union_of_sets(pre_aggregate(spark, sf), ["billing_date", "product_key"], sets)
     return merged.select(
         "billing_date", "product_key",
         *[F.array_join(s, "|").alias(s) for s in sets],
