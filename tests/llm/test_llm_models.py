@@ -1,7 +1,9 @@
 """Language identification, toxicity, mixing, archives, vectors, byte-level BPE, the pipeline."""
 
 import base64
+import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -9,7 +11,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -76,6 +80,64 @@ def test_kneser_ney_probabilities_add_up():
         assert total == pytest.approx(1, abs=1e-3)
 
 
+def plain_kneser_ney(counts, characters):
+    """Probability of a character after a context, by the recursive definition on plain dictionaries."""
+    levels = [dict(counts)]
+    while len(next(iter(levels[0]))) > 1:
+        left = {}
+        for gram in levels[0]:
+            left.setdefault(gram[1:], set()).add(gram[0])
+        levels.insert(0, {gram: len(neighbours) for gram, neighbours in left.items()})
+
+    def probability(c, context):
+        below = 1 / characters if context is None else probability(c, context[1:] if context else None)
+        if context is None:
+            return below
+        level = levels[len(context)]
+        once, twice = (sum(n == k for n in level.values()) for k in (1, 2))
+        discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+        after = {gram[-1]: n for gram, n in level.items() if gram[:-1] == context}
+        if not after:
+            return below
+        whole = sum(after.values())
+        return max(after.get(c, 0) - discount, 0) / whole + discount * len(after) / whole * below
+
+    return probability
+
+
+def test_entropies_are_those_of_plain_kneser_ney():
+    texts = {"de": "der hund und die katze und das haus der maus " * 3, "en": "the cat and the dog ate that hat then " * 3, "one": "aaaaaaaaaa"}
+    counts = {
+        name: dict(collections.Counter(t[i : i + langid.ORDER] for i in range(len(t) - langid.ORDER + 1)))
+        for name, t in texts.items()
+    }
+    model = langid.kneser_ney(counts)
+    characters = len({g[-1] for grams in counts.values() for g in grams} | {c for t in counts.values() for g in t for c in g[1:]}) + 1
+    for text in ("die katze ate the hund", "a", "zzz \u00e9t\u00e9 xx", "the " * 500, "aaaaaa"):
+        codes = langid.normalised(text)
+        s = "".join(map(chr, codes))
+        got = model.entropies(codes)
+        for i, name in enumerate(model.languages):
+            p = plain_kneser_ney(counts[name], characters)
+            known = {}
+            total = 0.0
+            for e in range(1, len(s)):
+                key = s[e], s[max(0, e - langid.ORDER + 1) : e]
+                if key not in known:
+                    known[key] = math.log(p(*key))
+                total -= known[key]
+            assert got[i] == pytest.approx(total / (len(s) - 1), rel=1e-4)
+
+
+def test_a_tie_goes_to_the_first_language_and_long_texts_are_read_whole():
+    grams = dict(collections.Counter("abcab cabca"[i : i + langid.ORDER] for i in range(7)))
+    twins = langid.kneser_ney({"y": grams, "x": grams})
+    assert twins.predict(langid.normalised("abcab"))[:2] == ("x", pytest.approx(0.5))
+    two = langid.kneser_ney({"x": grams, "z": {g.replace("a", "q"): n for g, n in grams.items()}})
+    # the end decides, a million characters behind the beginning
+    assert two.predict(langid.normalised("abcab" * 100_000 + " qbcqb" * 150_000))[0] == "z"
+
+
 # --- toxicity ------------------------------------------------------------------------------------
 
 
@@ -130,6 +192,53 @@ def test_toxicity_defined_results(spark):
     assert toxicity.scored(odd.limit(0), model).count() == 0
 
 
+def plain_loss(weights, thresholds, rows, grades):
+    total = 0.0
+    for slots, grade in zip(rows, grades, strict=True):
+        z = sum(weights[s] for s in slots)
+        above = [1.0, *(1 / (1 + math.exp(t - z)) for t in thresholds), 0.0]
+        total -= math.log(above[grade] - above[grade + 1])
+    return total / len(rows) + 5e-5 * sum(w * w for w in weights.values())
+
+
+def test_no_small_change_of_a_fitted_model_makes_the_grades_likelier():
+    rng = np.random.default_rng(5)
+    rows, grades = [], []
+    for _ in range(500):
+        hits = int(rng.integers(0, 5))
+        rows.append(np.unique(np.concatenate([rng.integers(50, 3000, 10), rng.permutation(6)[:hits]])).astype(np.int32))
+        grades.append(int(np.clip(hits + rng.integers(-1, 2), 0, 3)))
+    grades = np.array(grades)
+    model = toxicity.fit_ordinal(rows, grades)
+    mask = toxicity.telling(rows, grades > 0)
+    used = [[int(s) for s in r if mask[s]] for r in rows]
+    weights = {s: float(model.weights[s]) for s in {s for r in used for s in r}}
+    thresholds = list(model.thresholds)
+    best = plain_loss(weights, thresholds, used, grades)
+    for step in (0.05, -0.05):
+        for i in range(len(thresholds)):
+            moved = [t + step * (j == i) for j, t in enumerate(thresholds)]
+            assert plain_loss(weights, moved, used, grades) > best - 1e-4
+        for s in sorted(weights)[:6]:
+            if weights[s] + step >= 0:
+                assert plain_loss(weights | {s: weights[s] + step}, thresholds, used, grades) > best - 1e-4
+
+
+def test_severity_is_that_of_plain_sums_also_for_very_long_texts(spark):
+    rows, labels = toxic_rows(300)
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    texts = ["You IDIOT", "idiot " * 200_000, " ".join(f"q{i}" for i in range(50_000)) + " moron", "\u4f60\u597d", "w\u0061k wbl"]
+    got = toxicity.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    for text, r in zip(texts, got, strict=True):
+        parts = set()
+        for word in set(regex.findall(r"\p{L}+", text.lower())):
+            parts |= {"^" + word[:n] for n in (4, 5, 6, 7, 8) if n < len(word)} | {"^" + word, word}
+        slots = {xxhash.xxh64_intdigest(p) >> 46 for p in parts}
+        z = sum(float(model.weights[s]) for s in slots)
+        assert r["severity"] == pytest.approx(sum(1 / (1 + math.exp(min(max(t - z, -40), 40))) for t in model.thresholds), rel=1e-6)
+    assert got[0]["severity"] == got[1]["severity"]  # a repeated word counts once
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 
