@@ -31,6 +31,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
@@ -40,6 +41,7 @@ MATCH_LEAF = 8  # bytes of a match encoded by plain merging
 KNOWN = 150_000  # matches of up to KNOWN_LENGTH characters a worker remembers, twice
 KNOWN_LENGTH = 64
 LONG = 128  # bytes from which plain merging keeps its candidates in a heap
+GATHER = 1 << 20  # tokens whose bytes are gathered at once when a batch is decoded
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,6 +61,15 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.fits = lru_cache(maxsize=200_000)(self._fits)
+        # all tokens' bytes one after the other, by id; unknown ids have width -1
+        width = np.full(max(self.bytes_of, default=-1) + 1, -1, np.int64)
+        start = np.zeros(width.size, np.int64)
+        at = 0
+        for r in sorted(self.bytes_of):
+            width[r], start[r] = len(self.bytes_of[r]), at
+            at += width[r]
+        self.width, self.start = width, start
+        self.blob = np.frombuffer(b"".join(self.bytes_of[r] for r in sorted(self.bytes_of)), np.uint8)
 
     # --- bytes of one match -------------------------------------------------------------
 
@@ -183,6 +194,28 @@ class Codec:
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
+    def decode_lists(self, lists: pa.Array) -> pa.Array:
+        """Bytes of each list of ids at once, gathered from the joined tokens; a null list has none."""
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = lists.flatten()
+        if values.null_count:
+            raise KeyError(None)
+        ids = values.to_numpy(zero_copy_only=False).astype(np.int64)
+        unknown = (ids < 0) | (ids >= self.width.size)
+        if unknown.any() or (self.width[ids] < 0).any():
+            raise KeyError(int(ids[unknown | (self.width[np.where(unknown, 0, ids)] < 0)][0]))
+        widths = self.width[ids]
+        token_ends = np.concatenate([[0], np.cumsum(widths)])
+        row_ends = token_ends[np.concatenate([[0], np.cumsum(counts)])]
+        parts = []
+        for lo in range(0, ids.size, GATHER):
+            w, s = widths[lo : lo + GATHER], self.start[ids[lo : lo + GATHER]]
+            into = np.cumsum(w) - w  # where each token's bytes begin in this part
+            parts.append(self.blob[np.repeat(s - into, w) + np.arange(int(w.sum()))])
+        data = np.concatenate(parts) if parts else np.empty(0, np.uint8)
+        offsets = pa.array(row_ends, pa.int64()).cast(pa.int32())  # fails, as before, beyond 2 GB
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, offsets.buffers()[1], pa.py_buffer(data)])
+
 
 _BORDER = regex.compile(r"(?<=\S)\s")
 
@@ -238,11 +271,9 @@ def decoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, name, "")
         for batch in batches:
-            out = []
-            for ids in batch.column(batch.schema.get_field_index(ids_column)):
-                out.append(codec.decode(ids.values.to_pylist()) if ids.is_valid else b"")
+            out = codec.decode_lists(batch.column(batch.schema.get_field_index(ids_column)))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=[*kept, bytes_column])
+            yield pa.RecordBatch.from_arrays([*columns, out], names=[*kept, bytes_column])
 
     schema = StructType([df.schema[c] for c in kept] + [StructField(bytes_column, BinaryType())])
     return df.mapInArrow(run, schema)

@@ -460,6 +460,18 @@ def test_decoding_unknown_ids_is_an_error(spark, vocabulary):
     assert got == {1: codec.decode([72, 105]), 2: b""}
 
 
+def test_a_batch_of_lists_decodes_at_once_as_each_list_alone(vocabulary):
+    import pyarrow as pa
+
+    ranks, codec, _ = vocabulary
+    rng = random.Random(3)
+    lists = [rng.sample(sorted(ranks.values()), rng.randint(0, 40)) for _ in range(300)] + [None, []]
+    batch = pa.array(lists, pa.list_(pa.int32())).slice(1)
+    assert codec.decode_lists(batch).to_pylist() == [codec.decode(x or []) for x in lists[1:]]
+    with pytest.raises(KeyError):
+        codec.decode_lists(pa.array([[72, len(ranks) + 10_000]], pa.list_(pa.int32())))
+
+
 def test_joining_is_associative_with_a_neutral_element(vocabulary):
     _, codec, _ = vocabulary
     rng = random.Random(2)
