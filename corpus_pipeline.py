@@ -46,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(VOCABULARY)
     plain = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select("doc_id", "lang", "source", "text", F.sha2(plain, 256).alias("sha"))
-    done = bpe.decoded(bpe.encoded(rows, ranks, public_tokenizers.PATTERN), ranks)
+    done = bpe.encoded_and_decoded(rows, ranks, public_tokenizers.PATTERN)
     return done.select(
         "doc_id",
         "lang",

@@ -235,6 +235,17 @@ def _shared(df: DataFrame, ranks: dict[bytes, int]):
     return df.sparkSession.sparkContext.broadcast(ranks), name
 
 
+def _encoded_lists(codec: Codec, texts: pa.Array) -> pa.Array:
+    """The token ids of each text of a batch as one list array."""
+    offsets, parts = [0], []
+    for text in texts:
+        ids = codec.ids(text.as_py())
+        parts.append(ids)
+        offsets.append(offsets[-1] + len(ids))
+    values = np.concatenate(parts) if parts else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
 def encoded(
     df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: str = "text", ids_column: str = "token_ids"
 ) -> DataFrame:
@@ -245,13 +256,7 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, name, pattern)
         for batch in batches:
-            offsets, parts = [0], []
-            for text in batch.column(batch.schema.get_field_index(text_column)):
-                ids = codec.ids(text.as_py())
-                parts.append(ids)
-                offsets.append(offsets[-1] + len(ids))
-            values = np.concatenate(parts) if parts else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+            lists = _encoded_lists(codec, batch.column(batch.schema.get_field_index(text_column)))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, lists], names=[*kept, ids_column])
 
@@ -277,3 +282,32 @@ def decoded(
 
     schema = StructType([df.schema[c] for c in kept] + [StructField(bytes_column, BinaryType())])
     return df.mapInArrow(run, schema)
+
+
+def encoded_and_decoded(
+    df: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text_column: str = "text",
+    ids_column: str = "token_ids",
+    bytes_column: str = "decoded",
+) -> DataFrame:
+    """``decoded(encoded(df, ...))`` in one pass: each batch is decoded as soon as it is encoded.
+
+    One Python worker per task and one codec per worker, where the two passes take two of each."""
+    shared, name = _shared(df, ranks)
+    kept = [c for c in df.columns if c not in (text_column, ids_column, bytes_column)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(shared, name, pattern)
+        for batch in batches:
+            lists = _encoded_lists(codec, batch.column(batch.schema.get_field_index(text_column)))
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            out = [*columns, lists, codec.decode_lists(lists)]
+            yield pa.RecordBatch.from_arrays(out, names=[*kept, ids_column, bytes_column])
+
+    schema = StructType(
+        [df.schema[c] for c in kept]
+        + [StructField(ids_column, ArrayType(IntegerType(), False)), StructField(bytes_column, BinaryType())]
+    )
+    return df.mapInArrow(run, schema)

@@ -494,6 +494,23 @@ def test_encoded_and_decoded_frames(spark, vocabulary):
     assert bpe.encoded(df.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_one_pass_encodes_and_decodes_as_the_two(spark, vocabulary):
+    ranks, codec, _ = vocabulary
+    rows = [(1, "hello world", "a"), (2, None, "b"), (2, "", None), (3, "é" * 10 + " x" * 3000, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    done = bpe.encoded_and_decoded(df, ranks, public_tokenizers.PATTERN)
+    assert done.columns == ["doc_id", "lang", "token_ids", "decoded"]
+    got = sorted((r["doc_id"], r["lang"] or "", r["token_ids"], bytes(r["decoded"])) for r in done.collect())
+    assert got == sorted((i, g or "", codec.encode(t), (t or "").encode()) for i, t, g in rows)
+
+
+def test_pipeline_encodes_and_decodes_in_one_python_pass(spark):
+    docs = spark.createDataFrame([(1, "en", "web", "hello world")], "doc_id long, lang string, source string, text string")
+    plan = corpus_pipeline.encode(spark, docs, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert corpus_pipeline.encode(spark, docs, SMALL).first()["decodes"]
+
+
 # --- pipeline ----------------------------------------------------------------------------------------
 
 
