@@ -127,6 +127,18 @@ def test_null_safe_left_join_equals_left_join(spark, rows):
     assert rows(got) == rows(want)
 
 
+def test_null_safe_left_joins_equal_joins_one_by_one(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "b"), (4, "z")], "id int, k string")
+    one = spark.createDataFrame([("a", 10), ("a", 30), (None, 40)], "rk string, v int")
+    two = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "rk string, w int")
+    got = joins.null_safe_left_joins(left, [one, two], [("k", "rk")])
+    want = joins.null_safe_left_join(joins.null_safe_left_join(left, one, [("k", "rk")]), two, [("k", "rk")])
+    assert got.columns == want.columns == ["id", "k", "v", "w"]
+    assert rows(got) == rows(want)
+    with pytest.raises(ValueError):
+        joins.null_safe_left_joins(left, [one, one], [("k", "rk")])
+
+
 def test_join_refuses_clashing_columns(spark):
     df = spark.createDataFrame([(1, 2)], "k int, v int")
     with pytest.raises(ValueError):

@@ -127,6 +127,25 @@ def test_pairs(spark, items):
     assert by_key["c9_||_p9"]["customer_soldto_customer_product_pair_order_count_since_2024_01_01"] is None
 
 
+def widest_join(df):
+    """Columns of the widest rows that a join hands on."""
+    nodes, widest = [df._jdf.queryExecution().optimizedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Join":
+            widest = max(widest, node.output().size())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return widest
+
+
+def test_pairs_join_no_wide_rows(spark, items):
+    customers = spark.createDataFrame([("c1", "One"), ("c2", "Two")], "primary_key string, name string")
+    products = spark.createDataFrame([("p1", "P")], "primary_key string, label string")
+    got = series.customer_pairs(items, customers, products, "product_key", "customer_product_pair", SPEC)
+    assert len([c for c in got.columns if "_since_" in c]) == 48
+    assert widest_join(got) < 16
+
+
 # staging
 
 def small_metadata(spark, pk=("ID",), extra_fields=()):
