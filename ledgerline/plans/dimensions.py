@@ -18,8 +18,8 @@ from ledgerline.operators.columns import (
 )
 from ledgerline.operators.dedup import unique
 from ledgerline.operators.filters import genuine_relations, is_member, not_deleted
-from ledgerline.operators.joins import containment_flag, null_safe_left_join, partner_columns
-from ledgerline.operators.rfm import RfmSpec, enrich_with_rfm, label_sets
+from ledgerline.operators.joins import containment_flag, null_safe_left_join, partner_columns, require_new, spread
+from ledgerline.operators.rfm import RfmSpec, enrich_with_rfm, label_sets, packed_roles
 from ledgerline.operators.rollups import attribute_rollup
 from ledgerline.session import settled
 
@@ -110,14 +110,31 @@ def customer_accounts(
     """
     df = unique(not_deleted(accounts, "deletion_flag"), ["primary_key"])
     extra = [c for c in customer_dimension.columns if c not in accounts.columns]
-    df = null_safe_left_join(
-        df,
-        customer_dimension.select(F.col("primary_key").alias("customer_key"), *[quoted(c) for c in extra]),
-        [("customer_key", "customer_key")],
-    )
-    df = null_safe_left_join(df, unique(trade_classes, ["trade_class"]), [("trade_class", "trade_class")])
+    brought = [c for c in trade_classes.columns if c != "trade_class"]
+    require_new(brought, extra)
+
+    def classed(df: DataFrame) -> DataFrame:
+        return null_safe_left_join(df, unique(trade_classes, ["trade_class"]), [("trade_class", "trade_class")])
+
+    of_customer = "trade_class" in extra
+    if not of_customer:
+        df = classed(df)
+    # the customer's hundreds of columns come last and as one struct, as the metrics do
     roles = {"customer_account": [sold_to_account], "customer_account_billto": [bill_to_account]}
-    return measured(df, items, roles, spec, ranks=ranks)
+    df, metrics = packed_roles(df, items, roles, spec, ranks)
+    require_new(list(metrics), extra)
+    customer = customer_dimension.select(
+        F.col("primary_key").alias("customer_key"), F.struct(*[quoted(c) for c in extra]).alias("__customer")
+    )
+    df = null_safe_left_join(df, customer, [("customer_key", "customer_key")])
+    shown = {c: quoted(c) for c in accounts.columns} | spread("__customer", extra)
+    if of_customer:
+        df = classed(df.withColumn("trade_class", shown["trade_class"]))
+    shown |= {c: quoted(c) for c in brought} | metrics
+    df = df.select(*[value.alias(c) for c, value in shown.items()])
+    for name in roles:
+        df = with_series_ids(df, "primary_key", name, SPLIT)
+    return df
 
 
 def partner_tables(

@@ -146,6 +146,30 @@ def test_pairs_join_no_wide_rows(spark, items):
     assert widest_join(got) < 16
 
 
+def test_accounts_join_no_wide_rows(spark, items):
+    accounts = spark.createDataFrame(
+        [("c1a", "c1", "G", None), ("c2a", "c2", "H", None), ("c3a", None, None, None), ("c4a", "c4", "G", "X")],
+        "primary_key string, customer_key string, trade_class string, deletion_flag string",
+    )
+    customer = spark.createDataFrame(
+        [("c1", *range(30)), ("c4", *range(30))], "primary_key string, " + ", ".join(f"x{i} int" for i in range(30))
+    )
+    classes = spark.createDataFrame([("G", "good")], "trade_class string, class_name string")
+    got = dimensions.customer_accounts(accounts, customer, classes, items, SPEC, ranks=False)
+    assert got.columns[:35] == ["primary_key", "customer_key", "trade_class", "deletion_flag", *[f"x{i}" for i in range(30)], "class_name"]
+    # one field is not asked for: the others must not be taken apart below the joins for it
+    fewer = got.drop("x3", *[c for c in got.columns if "recency" in c or c.endswith("time_series_id")])
+    assert widest_join(fewer) < 16
+    by_key = {r["primary_key"]: r for r in fewer.collect()}
+    assert {k: (r["x7"], r["class_name"]) for k, r in by_key.items()} == {"c1a": (7, "good"), "c2a": (None, None), "c3a": (None, None)}
+    number = "order_count_since_2024_01_01"
+    told = {k: (r[f"customer_account_{number}"], r[f"customer_account_billto_{number}"]) for k, r in by_key.items()}
+    assert told == {"c1a": (2, 1), "c2a": (1, 2), "c3a": (None, None)}
+    of_customer = customer.select("primary_key", "x1", F.lit("G").alias("trade_class"))
+    late = dimensions.customer_accounts(accounts.drop("trade_class"), of_customer, classes, items, SPEC, ranks=False)
+    assert {r["primary_key"]: r["class_name"] for r in late.collect()} == {"c1a": "good", "c2a": None, "c3a": None}
+
+
 # staging
 
 def small_metadata(spark, pk=("ID",), extra_fields=()):
