@@ -381,6 +381,30 @@ def test_copies_of_an_item_count_each(spark):
     assert r["uniq_txn_count"] == 2
 
 
+def test_exact_block_counts_hold_each_row_once(spark, rows):
+    rng = random.Random(5)
+    day = dt.date(2024, 1, 1)
+    data = [
+        (rng.choice(["hot"] * 5 + ["x", None]), rng.choice(["i1", "i2", "i3", None, f"n{n}"]), day + dt.timedelta(n % 9),
+         rng.choice([None, 1.0, 2.5]), rng.choice([None, 1.0, 3.0]), rng.choice(["c1", "c2", None]), rng.choice(["p1", "p2", None]))
+        for n in range(200)
+    ]
+    df = spark.createDataFrame(data + data[:50], BLOCK_ITEMS)
+    out = blocks.transaction_blocks(df, ["trade"], absolute=1e9, exact=True)["absolute"]
+    names = ["earliest_txn_date", "latest_txn_date", "uniq_txn_count", "uniq_customer_count", "uniq_product_count", "total_sales_value", "min_unit_price", "max_unit_price", "median_unit_price"]
+    d, v, u = "billing_date", "sales_value", "unit_price"
+    # a leading row without a value has no running value, so no label, and is a block of its own
+    valued = df.groupBy("trade").agg(F.min(F.when(F.col(v).isNotNull(), F.struct(d, "item_key"))).alias("first"))
+    same = df["trade"].eqNullSafe(valued["trade"])
+    keyed = df.join(valued, same).select(df["*"], (F.struct(d, "item_key") >= F.col("first")).alias("labelled"))
+    want = keyed.groupBy("trade", "labelled").agg(
+        F.min(d), F.max(d), F.count_distinct("item_key"), F.count_distinct("sold_to_key"), F.count_distinct("product_key"), F.sum(v), F.min(u), F.max(u), F.percentile(u, 0.5)
+    ).drop("labelled")
+    assert rows(out, "trade", *names) == rows(want)
+    assert out.columns[2:7] == names[:5]
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_negative_start_counts_to_block_zero(spark):
     day = dt.date(2024, 1, 1)
     df = spark.createDataFrame([("t", "a", day, -50.0, 1.0, "c", "p"), ("t", "b", day, 150.0, 1.0, "c", "p")], BLOCK_ITEMS)
