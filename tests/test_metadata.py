@@ -203,6 +203,40 @@ def test_json_catalogue(spark, tmp_path):
     assert links == {"ln_tab001": (["orno"], "ln_tab002", ["cuno"]), "ln_tab003": (["x"], None, None)}
 
 
+def test_json_links_read_the_export_twice(spark, tmp_path):
+    def doc(name, refs, key):
+        columns = {f"ref{i}": {"type": "string", "description": text} for i, text in enumerate(refs)} | {"c": {"type": "string"}}
+        return {"name": name, "schema": {"description": None, "properties": columns}, "properties": {"IdentifierPaths": key}}
+
+    to = "Value of table {} here".format
+    documents = [
+        doc("LN_a", [to("b"), to("b"), "nothing", None], ["a1"]),  # to both tables of a name, twice; the rest leads nowhere
+        doc("LN_b", [], ["b1"]), doc("LN_b", [], ["b2"]),
+        doc("LN_c", [to("gone"), "nothing"], ["c1"]),  # no target at all
+        doc("LN_d", [to("e")], None), doc("LN_d", [], ["d2"]),  # a name that comes twice, references in one of them
+        doc("LN_e", [to("e")], ["e1"]),
+        doc(None, [to("b")], ["n"]),
+        {"name": "LN_f", "schema": None, "properties": None},
+    ]
+    for i, document in enumerate(documents):
+        (tmp_path / f"{i}.json").write_text(json.dumps({"objects": [document]}))
+    (tmp_path / "empty.json").write_text(json.dumps({"objects": []}))
+    links = json_catalogue.discover(json_catalogue.read_documents(spark, str(tmp_path))).links
+    got = sorted([tuple(r)[:4] for r in links.collect()], key=str)
+    assert got == sorted([
+        *[("ln_a", ["a1"], "ln_b", [k]) for k in ("b1", "b2") for _ in range(2)],
+        ("ln_c", ["c1"], None, None),
+        ("ln_d", None, "ln_e", ["e1"]), ("ln_d", ["d2"], "ln_e", ["e1"]),
+        ("ln_e", ["e1"], "ln_e", ["e1"]),
+    ], key=str)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = json_catalogue.discover(json_catalogue.read_documents(spark, str(tmp_path))).links._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan json") == 2
+
+
 def test_metadata_diffs(spark, rows):
     def meta(pk, label):
         return Metadata(
